@@ -64,7 +64,7 @@ tk as (select rollout_id, i, 1 + (a + 7 * i) % 11 token,
        from (select *, unnest(range(n_tokens)) i from ro)),
 st as (select rollout_id, min(i) filter (token = 1) stop_at from tk group by 1),
 tt as (select tk.*, case when i > stop_at then 0 else token end truncated, stop_at from tk join st using (rollout_id)),
-sl as (select rollout_id, coalesce(min(i) filter (truncated = 0) - 1, max(i)) sequence_length,
+sl as (select rollout_id, cast(coalesce(min(i) filter (truncated = 0) - 1, max(i)) as integer) sequence_length,
               bool_or(truncated = 1) has_eos from tt group by 1),
 tm as (select tt.rollout_id, i, token, truncated, token_entropy, i > sequence_length masked,
               case when i > sequence_length then 1.0::double else logp end logp,
@@ -72,7 +72,7 @@ tm as (select tt.rollout_id, i, token, truncated, token_entropy, i > sequence_le
               case when i > sequence_length then 1.0::double else new_logp end new_logp
        from tt join sl using (rollout_id)),
 ag as (select rollout_id, sum(logp) logp_sum, sum(ref_logp) ref_logp_sum, sum(new_logp) new_logp_sum,
-              sum(logp - ref_logp) kl, count(*) filter (masked) n_masked, sum(exp(new_logp - logp)) token_ratio_sum,
+              sum(logp - ref_logp) kl, cast(count(*) filter (masked) as integer) n_masked, sum(exp(new_logp - logp)) token_ratio_sum,
               sum(token_entropy) entropy_sum, count(*) filter (token = 1) num_eos from tm group by 1),
 rw as (select ro.*, ag.* exclude (rollout_id), sl.sequence_length, sl.has_eos,
               -0.0625::double * kl non_score_reward,
@@ -94,7 +94,7 @@ slots as (select update_id, minibatch, microbatch, avg(case when loss1 > loss2 t
 WORDS = r"""
 wl as (select doc_id, regexp_split_to_array(text, '[ \t\n\r\f\v]+') ws from documents),
 ws as (select doc_id, unnest(ws) w, generate_subscripts(ws, 1) - 1 i from wl),
-ids as (select doc_id, i, cast('0x' || substr(md5(w), 1, 7) as bigint) + 2 id from ws where w <> ''),
+ids as (select doc_id, i, cast(cast('0x' || substr(md5(w), 1, 7) as bigint) + 2 as integer) id from ws where w <> ''),
 nt as (select doc_id, count(*) n from ids group by 1)
 """
 
@@ -185,10 +185,10 @@ def build() -> dict[str, str]:
         from conversations group by 1"""
     sql["build_kto_dataset"] = _with(PAIRS) + """
         select example_id, branch, split, 'user=' || prompt prompt, 'assistant=' || reply completion,
-               1 n_messages, label = 1 as label from unpaired"""
+               1::bigint n_messages, label = 1 as label from unpaired"""
     sql["build_unpaired_dataset"] = _with(PAIRS) + f"""
         select example_id, branch, split, 'user=' || prompt prompt, {_dialogue('reply')} completion,
-               2 n_messages, label from unpaired"""
+               2::bigint n_messages, label from unpaired"""
     sql["reference_text"] = _with(PAIRS) + f"select example_id, trim(chosen, {_STRIP}) reference from pairs"
     sql["render_chat"] = _with(PAIRS) + """
         select example_id, '<|im_start|>user' || chr(10) || prompt || '<|im_end|>' || chr(10)
@@ -327,7 +327,7 @@ def build() -> dict[str, str]:
     adv = "update_id, prompt_id, rollout_id, rlhf_reward, advantage"
     sql["rloo_advantage"] = ro + f"select {adv} from adv"
     sql["rloo_advantage_any_k"] = ro + """select update_id, prompt_id, rollout_id, rlhf_reward,
-        round(rlhf_reward - (sum(rlhf_reward) over g - rlhf_reward) / nullif(count(*) over g - 1, 0), 6) advantage
+        rlhf_reward - (sum(rlhf_reward) over g - rlhf_reward) / nullif(count(*) over g - 1, 0) advantage
         from rw window g as (partition by update_id, prompt_id)"""
     sql["rloo_advantage_paired"] = ro + """
         , pr as (select update_id, prompt_id, sample_idx, rollout_id,
@@ -421,9 +421,7 @@ def build() -> dict[str, str]:
         round(avg(kl), 6) "objective/kl", round(avg(non_score_reward), 6) "objective/non_score_reward",
         round(avg(rlhf_reward), 6) "objective/rlhf_reward", round(avg(reward_score), 6) "objective/scores"
         from rw group by update_id"""
-    complete = ro + f"""
+    sql["stream_rloo_advantage"] = ro + f"""
         , c as (select *, count(*) over (partition by update_id, prompt_id, sample_idx // 2) n_slot from adv)
         select {adv} from c where n_slot = 2"""
-    sql["stream_rloo_advantage"] = complete
-    sql["stream_rloo_eager"] = complete
     return sql

@@ -574,7 +574,7 @@ def rloo_advantage(spark, d):
 @query
 def rloo_advantage_any_k(spark, d):
     slim = _rewards(spark, d).select("update_id", "prompt_id", "rollout_id", "rlhf_reward")
-    return rounded(RO.rloo_advantage_any_k(slim).select(*_ADVANTAGE), "advantage")
+    return RO.rloo_advantage_any_k(slim).select(*_ADVANTAGE)
 
 
 @query
@@ -852,9 +852,3 @@ def stream_update_metrics(spark, d):
 def stream_rloo_advantage(spark, d):
     stream = feedback.stream_rloo_advantage(_reward_stream(spark, d, "rollout-stream"), CFG.k)
     return _drained(spark, stream, "stream-advantage")
-
-
-@query
-def stream_rloo_eager(spark, d):
-    stream = feedback.stream_rloo_eager(_reward_stream(spark, d, "eager-stream"), CFG.k)
-    return _drained(spark, stream, "eager-advantage")
