@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -113,26 +114,30 @@ def judge_prompt(
 
 
 def cut_at_stop(text: Column, stops: Sequence[str] = STOP_STRINGS) -> Column:
-    """Text up to and including the stop string that ends first; unchanged without one."""
-    ends = [F.when(F.instr(text, s) > 0, F.instr(text, s) + (len(s) - 1)) for s in stops]
-    end = F.least(*ends) if len(ends) > 1 else ends[0]
-    return F.when(end.isNull(), text).otherwise(text.substr(F.lit(1), end))
+    """Text up to and including the first stop string; unchanged without one."""
+    any_stop = "|".join(re.escape(s) for s in stops)
+    return F.regexp_replace(text, f"(?s)({any_stop}).*", "$1")
 
 
 def parse_verdict(text: Column, phrase: str = ANSWER_PHRASE) -> Column:
     """A, B or C if the stripped text after the last phrase starts with its mark, else ``error``."""
     tail = strip(F.substring_index(text, phrase, -1))
-    return (
-        F.when(tail.startswith("[[A]]"), "A")
-        .when(tail.startswith("[[B]]"), "B")
-        .when(tail.startswith("[[C]]"), "C")
-        .otherwise("error")
-    )
+    letter = F.regexp_extract(tail, r"^\[\[(A|B|C)\]\]", 1)
+    return F.coalesce(F.try_element_at(_constant_map({v: v for v in "ABC"}), letter), F.lit("error"))
 
 
 def verdict_winner(verdict: Column) -> Column:
     """0 when A won, 1 when B won; ties and unparsed verdicts are NULL."""
-    return F.when(verdict == "A", 0).when(verdict == "B", 1)
+    return F.try_element_at(_constant_map({"A": 0, "B": 1}), verdict)
+
+
+def _constant_map(entries: Mapping[str, str | int]) -> Column:
+    """A literal map.
+
+    A lookup names its argument once; a CASE repeats it per branch, and in a
+    filter each repetition is evaluated again.
+    """
+    return F.create_map(*(F.lit(x) for item in entries.items() for x in item))
 
 
 def seeded_bit(key: Column, seed: int) -> Column:

@@ -75,14 +75,17 @@ def running_offsets(
 ) -> DataFrame:
     """Each key with the sum of all lengths before it (``start``) and overall (``grand_total``).
 
-    ``order`` must be a total order. Only keys and lengths are sorted into
-    ranges; the ranges are written to the shared work folder first, because
-    their totals and their rows are read separately and must agree on which
-    range a row belongs to.
+    ``order`` must be a total order. Keys and lengths are written to the shared
+    work folder first: sorting into ranges reads its input twice (sample, then
+    shuffle), and the texts behind the lengths should be read once. The ranges
+    are written too, because their totals and their rows are read separately
+    and must agree on which range a row belongs to.
     """
+    sizes = scratch_path(spark, "lengths")
+    df.select(*order, length).write.parquet(sizes)
     path = scratch_path(spark, "ranges")
     (
-        df.select(*order, length)
+        spark.read.parquet(sizes)
         .repartitionByRange(*order)
         .withColumn("__range", F.spark_partition_id())
         .write.parquet(path)
@@ -149,7 +152,9 @@ def pack_sequences(
     )
 
 
-def block_tokens(spans: DataFrame, documents: DataFrame, order: Sequence[str], ids: str, eos: int = 1) -> DataFrame:
+def block_tokens(
+    spans: DataFrame, documents: DataFrame, order: Sequence[str], ids: str, eos: int = 1
+) -> DataFrame:
     """The token array of every packed block; a block never holds more than its size."""
     piece = F.slice(
         F.concat(F.col(ids), F.array(F.lit(eos))),

@@ -31,6 +31,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     )
 
 
+def _join_on(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool
+) -> DataFrame:
+    """Equi-join keeping the left keys; ``null_safe`` lets a NULL key match a NULL key."""
+    if not null_safe:
+        return left.join(right, list(keys), how)
+    renamed = {k: f"__r_{k}" for k in keys}
+    right = right.withColumnsRenamed(renamed)
+    matches = [left[k].eqNullSafe(right[r]) for k, r in renamed.items()]
+    return left.join(right, matches, how).drop(*renamed.values())
+
+
 def lookup_join(
     rows: DataFrame,
     dimension: DataFrame,
@@ -38,26 +50,20 @@ def lookup_join(
     row_key: str,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join many ``rows`` to one ``dimension`` row per key (``how``: inner or left)."""
     hot = F.broadcast(hot_keys(rows, keys, hot_rows))
-    keys = list(keys)
-    spread = (
-        rows.join(hot, keys, "left")
-        .withColumn(
-            _PIECE,
-            F.when(
-                F.col(_PIECES).isNotNull(), F.pmod(F.xxhash64(row_key), F.col(_PIECES)).cast("int")
-            ).otherwise(F.lit(0)),
-        )
-        .drop(_PIECES)
+    piece_of_row = F.pmod(F.xxhash64(row_key), F.coalesce(_PIECES, F.lit(1))).cast("int")
+    every_piece = F.sequence(F.lit(0), F.coalesce(_PIECES, F.lit(1)) - 1)
+    spread = _join_on(rows, hot, keys, "left", True).withColumn(_PIECE, piece_of_row)
+    repeated = _join_on(dimension, hot, keys, "left", True).withColumn(
+        _PIECE, F.explode(every_piece)
     )
-    repeated = (
-        dimension.join(hot, keys, "left")
-        .withColumn(_PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)))
-        .drop(_PIECES)
+    joined = _join_on(
+        spread.drop(_PIECES), repeated.drop(_PIECES), [*keys, _PIECE], how, null_safe
     )
-    return spread.join(repeated, [*keys, _PIECE], how).drop(_PIECE)
+    return joined.drop(_PIECE)
 
 
 def attach_group_stats(
@@ -67,10 +73,10 @@ def attach_group_stats(
     row_key: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Each row with aggregates of its whole group.
+    """Each row with aggregates of its whole group; NULL keys form a group, as in ``groupBy``.
 
     An aggregate joined back, not a window: partial sums leave each task before
     the shuffle, so a group is never gathered in one place.
     """
     groups = df.groupBy(*keys).agg(*stats)
-    return lookup_join(df, groups, keys, row_key, "inner", hot_rows)
+    return lookup_join(df, groups, keys, row_key, "inner", hot_rows, null_safe=True)
