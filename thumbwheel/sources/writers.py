@@ -32,6 +32,7 @@ def export_completions_csv(df: DataFrame, path: str) -> None:
         df.orderBy("ordinal")
         .select(F.col("text").alias("Text"))
         .write.options(header=True, quoteAll=True, quote='"', escape='"', emptyValue="")
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )
 
