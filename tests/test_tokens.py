@@ -47,6 +47,13 @@ def test_truncate_pair(spark, n_prompt, n_completion):
     assert row.c == c[: 8 - len(row.p)]
 
 
+def test_a_long_prompt_may_stay_while_the_pair_fits(spark):
+    df = spark.createDataFrame([(list(range(6)), [9]), (list(range(6)), [9] * 5)], "p array<int>, c array<int>")
+    kept = K.truncate_pair(F.col("p"), F.col("c"), max_prompt=4, max_total=8, only_if_over=True)
+    sizes = df.select(*(F.size(c) for c in kept)).collect()
+    assert [tuple(r) for r in sizes] == [(6, 1), (4, 4)]
+
+
 def test_padding_sides(spark):
     for side, out, mask in (("right", [3, 4, 0], [1, 1, 0]), ("left", [0, 3, 4], [0, 1, 1])):
         assert value(spark, K.pad_to(F.col("ids"), F.lit(3), 0, side), ids=[3, 4], schema=IDS) == out

@@ -43,12 +43,22 @@ def keep_end(ids: Column, n: Column) -> Column:
 
 
 def truncate_pair(
-    prompt: Column, completion: Column, max_prompt: int = 512, max_total: int = 2048
+    prompt: Column,
+    completion: Column,
+    max_prompt: int = 512,
+    max_total: int = 2048,
+    only_if_over: bool = False,
 ) -> tuple[Column, Column]:
-    """Prompt end up to ``max_prompt``; completion start up to what is then left of ``max_total``."""
-    kept_prompt = keep_end(prompt, F.lit(min(max_prompt, max_total)))
-    room = F.lit(max_total) - F.least(F.size(prompt), F.lit(min(max_prompt, max_total)))
-    return kept_prompt, keep_start(completion, room)
+    """Prompt end up to ``max_prompt``; completion start up to what is then left of ``max_total``.
+
+    ``only_if_over`` leaves a long prompt alone while both together fit.
+    """
+    limit = F.lit(min(max_prompt, max_total))
+    if only_if_over:
+        fits = F.size(prompt) + F.size(completion) <= max_total
+        limit = F.when(fits, F.size(prompt)).otherwise(limit)
+    room = F.lit(max_total) - F.least(F.size(prompt), limit)
+    return keep_end(prompt, limit), keep_start(completion, room)
 
 
 def pad_to(ids: Column, width: Column, pad: int = 0, side: str = "right") -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -11,10 +12,14 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def local_session(
-    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", app: str = "thumbwheel"
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    memory: str = "8g",
+    app: str = "thumbwheel",
+    settings: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -23,9 +28,10 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
-        .getOrCreate()
     )
+    for key, setting in (settings or {}).items():
+        builder = builder.config(key, setting)
+    return builder.getOrCreate()
 
 
 def work_root(spark: SparkSession) -> str:
