@@ -95,13 +95,36 @@ def test_entropy_counts_masked_positions_unless_told_otherwise(log):
 
 
 def test_policy_terms_by_hand(log):
-    row = RO.policy_terms(training_log.scored_rollouts(log, CONFIG), CONFIG).where("rollout_id = 100").first()
+    whole = log.withColumn("token_entropy", F.col("logp"))
+    row = training_log.policy_rollouts(whole, CONFIG).where("rollout_id = 100").first()
     ratio = math.exp(-0.5)
     assert row.ratio == pytest.approx(ratio)
     assert row.loss == pytest.approx(max(-row.advantage * ratio, -row.advantage * 0.8))
     assert row.token_ratio_sum == pytest.approx(math.exp(-0.5) + 1 + 1)
 
 
+def test_sums_equal_sums_over_masked_arrays(spark, sf_dir):
+    masked = RO.masked_rollouts(inputs.rollouts(spark, sf_dir), CONFIG)
+    both = RO.policy_sums(masked).select(
+        (F.col("logp_sum") == RO.K.array_sum(F.col("logp"))).alias("a"),
+        (F.col("new_logp_sum") == RO.K.array_sum(F.col("new_logp"))).alias("b"),
+        (F.abs(F.col("token_ratio_sum") - RO.R.token_ratio_sum(F.col("new_logp"), F.col("logp"))) < 1e-9).alias("c"),
+    )
+    assert both.where("NOT (a AND b AND c)").count() == 0
+
+
+def test_token_arrays_do_not_travel(log, folder, spark):
+    log.withColumn("token_entropy", F.col("logp")).withColumn("ppo_epoch", F.lit(0)).withColumn(
+        "minibatch", F.lit(0)
+    ).withColumn("microbatch", F.lit(0)).write.parquet(f"{folder}/r")
+    out = training_log.training_slot_stats(spark.read.parquet(f"{folder}/r"), CONFIG)
+    shuffled = out._jdf.queryExecution().executedPlan().toString().split("Window")[-1]
+    project = shuffled.split("Exchange")[1].split("Project [")[1].split("\n")[0]
+    columns = [c.split(" AS ")[-1].split("#")[0].strip() for c in project.split(", ")]
+    assert "token_ratio_sum" in columns
+    assert not set(columns) & {"logp", "new_logp", "ref_logp", "response", "token_entropy"}
+
+
 def test_rewards_need_no_shuffle_or_python(log, folder, spark):
     log.write.parquet(f"{folder}/r")
     stored = spark.read.schema(SCHEMA).parquet(f"{folder}/r")

@@ -24,32 +24,51 @@ class RolloutConfig:
     k: int = 2
 
 
-def masked_rollouts(df: DataFrame, cfg: RolloutConfig = RolloutConfig()) -> DataFrame:
-    """Truncate responses, find their length and fill masked log-probabilities."""
-    truncated = df.withColumn(
-        "truncated", K.truncate_at_stop(F.col("response"), cfg.stop_id, cfg.pad_id)
+def sized_rollouts(df: DataFrame, cfg: RolloutConfig = RolloutConfig()) -> DataFrame:
+    """Truncated response, index of its last token, and whether it ends."""
+    return (
+        df.withColumn("truncated", K.truncate_at_stop(F.col("response"), cfg.stop_id, cfg.pad_id))
+        .withColumn("sequence_length", K.sequence_length(F.col("truncated"), cfg.pad_id))
+        .withColumn("has_eos", K.contains_token(F.col("truncated"), cfg.eos_id))
     )
-    sized = truncated.withColumn(
-        "sequence_length", K.sequence_length(F.col("truncated"), cfg.pad_id)
-    ).withColumn("has_eos", K.contains_token(F.col("truncated"), cfg.eos_id))
+
+
+def masked_rollouts(df: DataFrame, cfg: RolloutConfig = RolloutConfig()) -> DataFrame:
+    """Sized rollouts with the masked positions of all log-probabilities filled."""
+    sized = sized_rollouts(df, cfg)
     for name in ("logp", "ref_logp", "new_logp"):
         sized = sized.withColumn(name, K.mask_after(F.col(name), F.col("sequence_length")))
     return sized
 
 
+def _valid(name: str) -> Column:
+    """The unmasked positions.
+
+    Sums over masked arrays follow from these: a masked position adds 0 to a
+    difference and ``INVALID_LOGPROB`` to a plain sum, so padding is never
+    walked through.
+    """
+    return K.keep_start(F.col(name), F.col("sequence_length") + 1)
+
+
+def _n_masked(name: str) -> Column:
+    n = F.size(name)
+    return n - F.least(F.greatest(F.col("sequence_length") + 1, F.lit(0)), n)
+
+
 def rollout_rewards(
     df: DataFrame,
     cfg: RolloutConfig = RolloutConfig(),
     scalar_reward: bool = False,
     penalty_after_argmax: bool = False,
 ) -> DataFrame:
-    """Score, KL term and reward of each masked rollout; no shuffle.
+    """Score, KL term and reward of each sized or masked rollout; no shuffle.
 
     ``scalar_reward`` takes the first logit as the reward (a one-logit model)
     instead of the 0/1 argmax. ``penalty_after_argmax`` lets the missing-EOS
     penalty reach the 0/1 score, which it otherwise cannot change.
     """
-    kl = R.sequence_kl(F.col("logp"), F.col("ref_logp"))
+    kl = R.sequence_kl(_valid("logp"), _valid("ref_logp"))
     penalised = R.penalise_missing_eos(F.col("score"), F.col("has_eos"), cfg.missing_eos_penalty)
     if scalar_reward:
         value = F.get(penalised, F.lit(0))
@@ -99,15 +118,28 @@ def rloo_advantage_any_k(df: DataFrame, hot_rows: int | None = None) -> DataFram
     ).drop("__total", "__n")
 
 
+def policy_sums(df: DataFrame) -> DataFrame:
+    """Per-rollout sums over tokens, as if masked positions held their fill.
+
+    Taken before any shuffle, so that token arrays need not travel.
+    """
+    fill = F.lit(K.INVALID_LOGPROB) * _n_masked("logp")
+    return (
+        df.withColumn("logp_sum", K.array_sum(_valid("logp")) + fill)
+        .withColumn("new_logp_sum", K.array_sum(_valid("new_logp")) + fill)
+        .withColumn(
+            "token_ratio_sum",
+            R.token_ratio_sum(_valid("new_logp"), _valid("logp")) + _n_masked("logp"),
+        )
+        .withColumn("n_tokens", F.size("logp").cast("long"))
+    )
+
+
 def policy_terms(df: DataFrame, cfg: RolloutConfig = RolloutConfig()) -> DataFrame:
-    """Ratio and clipped-loss terms of each rollout with an advantage; no shuffle."""
+    """Ratio and clipped-loss terms of rollouts with sums and an advantage; scalars only."""
     loss, clipped = R.clipped_losses(F.col("advantage"), F.col("ratio"), cfg.cliprange)
     return (
-        df.withColumn("logp_sum", K.array_sum(F.col("logp")))
-        .withColumn("new_logp_sum", K.array_sum(F.col("new_logp")))
-        .withColumn("token_ratio_sum", R.token_ratio_sum(F.col("new_logp"), F.col("logp")))
-        .withColumn("n_tokens", F.size("logp").cast("long"))
-        .withColumn("ratio", R.sequence_ratio(F.col("new_logp_sum"), F.col("logp_sum")))
+        df.withColumn("ratio", R.sequence_ratio(F.col("new_logp_sum"), F.col("logp_sum")))
         .withColumn("loss_plain", loss)
         .withColumn("loss_clipped", clipped)
         .withColumn("loss", F.greatest("loss_plain", "loss_clipped"))

@@ -365,7 +365,7 @@ def truncate_at_stop(spark, d):
 
 @query
 def sequence_length(spark, d):
-    return RO.masked_rollouts(I.rollouts(spark, d), CFG).select("rollout_id", "sequence_length")
+    return RO.sized_rollouts(I.rollouts(spark, d), CFG).select("rollout_id", "sequence_length")
 
 
 @query
@@ -382,7 +382,7 @@ def padding_mask(spark, d):
 
 @query
 def contains_eos(spark, d):
-    return RO.masked_rollouts(I.rollouts(spark, d), CFG).select("rollout_id", "has_eos")
+    return RO.sized_rollouts(I.rollouts(spark, d), CFG).select("rollout_id", "has_eos")
 
 
 @query
@@ -504,12 +504,12 @@ def pointwise_reward_eval(spark, d):
 
 @query
 def kto_objective(spark, d):
-    rewards = RO.rollout_rewards(RO.masked_rollouts(I.rollouts(spark, d), CFG), CFG)
+    rewards = RO.policy_sums(_rewards(spark, d))
     rows = rewards.select(
         "update_id",
         "rollout_id",
-        K.array_sum(F.col("logp")).alias("logp_sum"),
-        K.array_sum(F.col("ref_logp")).alias("ref_logp_sum"),
+        "logp_sum",
+        (F.col("logp_sum") - F.col("kl")).alias("ref_logp_sum"),
         F.col("reward_score").cast("int").alias("label"),
         "kl",
     )
@@ -522,7 +522,7 @@ def kto_objective(spark, d):
 
 
 def _rewards(spark, d, **options) -> DataFrame:
-    return RO.rollout_rewards(RO.masked_rollouts(I.rollouts(spark, d), CFG), CFG, **options)
+    return RO.rollout_rewards(RO.sized_rollouts(I.rollouts(spark, d), CFG), CFG, **options)
 
 
 @query
@@ -537,7 +537,7 @@ def non_score_reward(spark, d):
 
 @query
 def eos_penalty(spark, d):
-    masked = RO.masked_rollouts(I.rollouts(spark, d), CFG)
+    masked = RO.sized_rollouts(I.rollouts(spark, d), CFG)
     lowered = R.penalise_missing_eos(F.col("score"), F.col("has_eos"), CFG.missing_eos_penalty)
     return masked.select("rollout_id", lowered.alias("s")).select(
         "rollout_id",
@@ -589,13 +589,10 @@ def _policy(spark, d) -> DataFrame:
 
 @query
 def importance_ratio(spark, d):
-    terms = RO.policy_terms(
-        RO.masked_rollouts(I.rollouts(spark, d), CFG).withColumn("advantage", F.lit(0.0)), CFG
-    )
+    sums = RO.policy_sums(RO.sized_rollouts(I.rollouts(spark, d), CFG))
     mean = F.try_divide(F.col("token_ratio_sum"), F.col("n_tokens"))
-    return terms.select(
-        "rollout_id", r6("ratio").alias("ratio"), r6(mean).alias("token_ratio_mean")
-    )
+    ratio = R.sequence_ratio(F.col("new_logp_sum"), F.col("logp_sum"))
+    return sums.select("rollout_id", r6(ratio).alias("ratio"), r6(mean).alias("token_ratio_mean"))
 
 
 @query
@@ -612,10 +609,9 @@ def clip_fraction(spark, d):
 
 @query
 def approx_kl(spark, d):
-    terms = RO.policy_terms(
-        RO.masked_rollouts(I.rollouts(spark, d), CFG).withColumn("advantage", F.lit(0.0)), CFG
-    )
-    out = terms.groupBy("update_id").agg((F.avg("log_ratio_sq") * 0.5).alias("approx_kl"))
+    sums = RO.policy_sums(RO.sized_rollouts(I.rollouts(spark, d), CFG))
+    squared = F.pow(F.col("new_logp_sum") - F.col("logp_sum"), F.lit(2))
+    out = sums.groupBy("update_id").agg((F.avg(squared) * 0.5).alias("approx_kl"))
     return rounded(out)
 
 
