@@ -91,11 +91,21 @@ slots as (select update_id, minibatch, microbatch, avg(case when loss1 > loss2 t
                  sum(token_ratio_sum) / sum(n_tokens) ratio from pol group by all)
 """
 
+# CRC-32 of every distinct word's bytes, from the table of its reflected polynomial.
 WORDS = r"""
-wl as (select doc_id, regexp_split_to_array(text, '[ \t\n\r\f\v]+') ws from documents),
+crc_bits as (select n, n c, 0 k from range(256) r(n)
+             union all
+             select n, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1
+             from crc_bits where k < 8),
+crc_table as (select list(c order by n) t from crc_bits where k = 8),
+wl as (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> '') ws from documents),
+wb as (select w, regexp_extract_all(hex(encode(w)), '..') h from (select distinct unnest(ws) w from wl)),
+crc as (select w, xor(list_reduce(list_prepend(4294967295, list_transform(h, lambda x: cast('0x' || x as bigint))),
+                                  lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) crc
+        from wb, crc_table),
 ws as (select doc_id, unnest(ws) w, generate_subscripts(ws, 1) - 1 i from wl),
-ids as (select doc_id, i, cast(cast('0x' || substr(md5(w), 1, 7) as bigint) + 2 as integer) id from ws where w <> ''),
-nt as (select doc_id, count(*) n from ids group by 1)
+ids as (select doc_id, i, cast(crc % 2147483645 + 2 as integer) id from ws join crc using (w)),
+nt as (select doc_id, count(*) n from ws group by 1)
 """
 
 PACK = """
@@ -136,7 +146,7 @@ case when (length(answer_a) + length(answer_b)) % 11 = 0 then null
 
 
 def _with(*parts: str) -> str:
-    return "with " + ",".join(parts) + " "
+    return "with recursive " + ",".join(parts) + " "
 
 
 def _dialogue(reply: str) -> str:
