@@ -42,7 +42,7 @@ REWARDS = "update_id long, prompt_id long, sample_idx long, rollout_id long, rlh
 def reward_rows():
     s = lambda n: T0 + dt.timedelta(seconds=n)
     first = [(1, 1, 0, 10, 1.0, s(0)), (1, 2, 0, 20, 0.5, s(1)), (1, 3, 0, 30, 0.0, s(2)), (1, 1, 2, 12, 4.0, s(2))]
-    second = [(1, 1, 1, 11, 0.25, s(3)), (1, 2, 1, 21, 0.5, s(4)), (1, 1, 3, 13, 1.0, s(5))]
+    second = [(1, 1, 0, 10, 1.0, s(0)), (1, 1, 1, 11, 0.25, s(3)), (1, 2, 1, 21, 0.5, s(4)), (1, 1, 3, 13, 1.0, s(5))]
     return first, second
 
 

@@ -1,4 +1,4 @@
-"""Judged evaluation: against reference texts and model against model."""
+"""Completions and judged evaluation: against reference texts and model against model."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thumbwheel.operators.inference import TextFactory, batch_judge
+from thumbwheel.operators.inference import TextFactory, batch_generate, batch_judge
 from thumbwheel.operators.judging import (
     flip_order,
     unflip_winner,
@@ -15,6 +15,16 @@ from thumbwheel.operators.judging import (
     win_rate_vs_reference,
 )
 from thumbwheel.operators.pairing import attach_prompts, pair_reference_candidate, tournament
+from thumbwheel.operators.selection import head_examples
+
+
+def generate_completions(
+    examples: DataFrame, generate: TextFactory, model: str, n: int | None = None
+) -> DataFrame:
+    """One model's completions of the first ``n`` prompts, ready to be written."""
+    prompts = head_examples(examples.select("ordinal", "prompt"), n)
+    done = batch_generate(prompts, generate)
+    return done.select("ordinal", F.lit(model).alias("model"), "text")
 
 
 def judge_against_reference(

@@ -87,7 +87,8 @@ def stream_rloo_advantage(
     """Advantages of complete slots; incomplete ones leave with the watermark.
 
     A slot's samples must fall in one window. State per slot is at most ``k``
-    samples because the slot number is part of the key.
+    samples because the slot number is part of the key; a sample delivered
+    again is the same set member.
     """
     n, total = F.size("samples"), F.aggregate(
         "samples", F.lit(0.0), lambda acc, s: acc + s["rlhf_reward"]
@@ -96,7 +97,7 @@ def stream_rloo_advantage(
         rewards.withWatermark(ts, watermark)
         .withColumn("slot", F.floor(F.col("sample_idx") / F.lit(k)).cast("long"))
         .groupBy(F.window(ts, window).alias("w"), "update_id", "prompt_id", "slot")
-        .agg(F.collect_list(F.struct("rollout_id", "rlhf_reward")).alias("samples"))
+        .agg(F.collect_set(F.struct("rollout_id", "rlhf_reward")).alias("samples"))
         .where(n == k)
         .withColumn("total", total)
         .select(
@@ -120,7 +121,8 @@ def stream_rloo_eager(
 ) -> DataFrame:
     """Advantages as soon as a slot is complete, without fixed windows.
 
-    State is the slot's samples so far (fewer than ``k``); it is cleared on
+    State is the slot's samples so far (fewer than ``k``, by id, so a repeated
+    delivery counts once); it is cleared on
     completion, or ``patience_ms`` of event time after the last arrival.
     """
     if k < 2:
@@ -132,12 +134,12 @@ def stream_rloo_eager(
         if state.hasTimedOut:
             state.remove()
             return
-        ids, values = (list(part) for part in state.get) if state.exists else ([], [])
+        samples = dict(zip(*state.get)) if state.exists else {}
         latest = 0
         for batch in batches:
-            ids += batch["rollout_id"].tolist()
-            values += batch["rlhf_reward"].tolist()
+            samples.update(zip(batch["rollout_id"].tolist(), batch["rlhf_reward"].tolist()))
             latest = max(latest, int(batch[ts].max().timestamp() * 1000))
+        ids, values = list(samples), list(samples.values())
         if len(ids) < k:
             state.update((ids, values))
             state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + patience_ms)
@@ -151,7 +153,7 @@ def stream_rloo_eager(
                 "prompt_id": key[1],
                 "rollout_id": ids,
                 "rlhf_reward": values,
-                "advantage": [v - (total - v) / (k - 1) for v in values],
+                "advantage": [v - (total - v) / (len(values) - 1) for v in values],
             }
         )
 

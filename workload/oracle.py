@@ -232,6 +232,12 @@ def build() -> dict[str, str]:
     sql["tokenize"] = _with(WORDS) + """
         select doc_id, count(*) n_tokens, cast(sum(id) as bigint) id_sum,
                arg_min(id, i) first_id, arg_max(id, i) last_id from ids group by 1"""
+    sql["reward_training_rows"] = _with(PAIRS) + r"""
+        , t as (select *, '<|im_start|>user' || chr(10) || prompt || '<|im_end|>' || chr(10) || '<|im_start|>assistant'
+                          || chr(10) || reply || '<|im_end|>' || chr(10) as text from unpaired),
+        n as (select example_id, branch, split, label,
+                     len(regexp_extract_all(text, '[^ \t\n\r\f\v]+')) n_tokens from t)
+        select * from n where n_tokens <= 2048"""
     sql["pack_sequences"] = _with(WORDS, PACK) + """
         , spans as (select *, unnest(generate_series(st // 2048, (st + n - 1) // 2048)) block from run)
         select block, doc_id, greatest(block * 2048 - st, 0) from_token,
@@ -404,6 +410,9 @@ def build() -> dict[str, str]:
                when winner = 1 then 'B' else 'C' end verdict, winner from j"""
     sql["batch_score"] = """select doc_id, cast(length(source) % 9 as double) / 4 logit0,
         cast(length(text) % 7 as double) / 4 logit1 from documents join labels using (doc_id)"""
+    sql["generate_completions"] = _with(COMPLETIONS) + f"""
+        select ordinal, '{_KTO}' model, trim('Echo: ' || prompt, {_STRIP}) text
+        from prompts order by ordinal limit 1000"""
     sql["judge_against_reference"] = _with(COMPLETIONS) + f"""
         , j as (select model, {JUDGED_WINNER} winner from (select c.model, d.text answer_a, c.text answer_b
                 from comp c join documents d on c.ordinal = d.doc_id where c.model <> '{_SFT}'))

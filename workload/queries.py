@@ -292,6 +292,18 @@ def tokenize(spark, d):
     )
 
 
+@query
+def reward_training_rows(spark, d):
+    """Rendered, tokenized and length-limited completions with their labels."""
+    unpaired = datasets.build_unpaired_dataset(I.pairs(spark, d))
+    rows = datasets.reward_training_rows(
+        unpaired, X.render_chat(F.col("completion")), K.token_ids, max_length=2048
+    )
+    return rows.select(
+        "example_id", "branch", "split", "label", F.size("input_ids").cast("long").alias("n_tokens")
+    )
+
+
 @query
 def pack_sequences(spark, d):
     docs = I.table(spark, d, "documents")
@@ -725,6 +737,12 @@ def batch_score(spark, d):
     )
 
 
+@query
+def generate_completions(spark, d):
+    prompts = I.prompts(spark, d)
+    return evaluation.generate_completions(prompts, judges.echo_generator, I.MODELS[2], n=1000)
+
+
 @query
 def judge_against_reference(spark, d):
     examples = readers.source_adapter(
