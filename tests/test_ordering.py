@@ -80,6 +80,15 @@ def test_head_is_pushed_to_the_scan(spark, sf_dir):
         selection.head_examples(docs, 10**6, ordinal="doc_id", strict=True)
 
 
+def test_length_filter_is_inclusive_and_tokenizes_once(spark, sf_dir):
+    df = spark.createDataFrame([(0, "a"), (1, "a b"), (2, "a b c"), (3, "")], "id long, t string")
+    out = selection.max_length_filter(df, F.split("t", " "), 2)
+    assert sorted((r.id, len(r.input_ids)) for r in out.collect()) == [(0, 1), (1, 2), (3, 1)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    shown = plan(selection.max_length_filter(docs, F.split("text", " "), 2).select("doc_id", F.size("input_ids")))
+    assert shown.count("split(text") == 1
+
+
 def test_report_top_first_batch(spark):
     df = spark.range(100).withColumnRenamed("id", "ordinal")
     assert [r.ordinal for r in selection.report_top(df, n=5, first_batch_of=3).collect()] == [0, 1, 2]

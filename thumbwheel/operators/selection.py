@@ -27,9 +27,16 @@ def eval_sample(df: DataFrame, ordinal: str = "ordinal", n: int = 100) -> DataFr
     return head_examples(df, n, ordinal)
 
 
-def max_length_filter(df: DataFrame, length: Column, max_length: int = 2048) -> DataFrame:
-    """Rows of at most ``max_length`` tokens."""
-    return df.where(length <= max_length)
+def max_length_filter(
+    df: DataFrame, tokens: Column, max_length: int = 2048, name: str = "input_ids"
+) -> DataFrame:
+    """Rows of at most ``max_length`` tokens, with their tokens as ``name``.
+
+    A generator emits the row's tokens or nothing. A plain filter would be
+    pushed below the projection that builds them and tokenize every text twice.
+    """
+    fitting = F.filter(F.array(tokens), lambda t: F.size(t) <= max_length)
+    return df.withColumn(name, F.explode(fitting))
 
 
 def drop_error_verdicts(df: DataFrame, winner: str = "winner") -> DataFrame:

@@ -48,5 +48,4 @@ def reward_training_rows(
     """Rendered completions as token ids of bounded length with their labels."""
     keys = [c for c in unpaired.columns if c not in ("prompt", "completion")]
     rendered = unpaired.select(*keys, render.alias("text"))
-    ids = rendered.withColumn("input_ids", tokenize(F.col("text"))).drop("text")
-    return max_length_filter(ids, F.size("input_ids"), max_length)
+    return max_length_filter(rendered, tokenize(F.col("text")), max_length).drop("text")

@@ -247,8 +247,9 @@ def eval_sample(spark, d):
 
 @query
 def max_length_filter(spark, d):
-    docs = I.table(spark, d, "documents").withColumn("n_tokens", K.token_count(F.col("text")))
-    return selection.max_length_filter(docs, F.col("n_tokens"), 2048).select("doc_id", "n_tokens")
+    docs = I.table(spark, d, "documents").select("doc_id", "text")
+    short = selection.max_length_filter(docs, K.words(F.col("text")), 2048, "words")
+    return short.select("doc_id", F.size("words").cast("long").alias("n_tokens"))
 
 
 @query
