@@ -1,6 +1,3 @@
-from pyspark.sql import functions as F
-
-
 def value(spark, column, **inputs):
     """Evaluate a column over one row of the given inputs."""
     schema = inputs.pop("schema")
@@ -11,6 +8,3 @@ def value(spark, column, **inputs):
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
-
-def col(name):
-    return F.col(name)

@@ -28,6 +28,7 @@ JUDGE_INSTRUCTION = (
     '"The answer is [[C]]" when they are equally good.'
 )
 
+# Class names of a thumbs label.
 LABEL_NAMES = {0: "BAD", 1: "GOOD"}
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from thumbwheel.functions.text import strip
 from thumbwheel.schemas import require_columns
 
+# The columns an unpaired dataset leaves out.
 UNUSED_COLUMNS = ("prompt_id", "messages", "score_chosen", "score_rejected")
 
 

@@ -110,9 +110,8 @@ def rloo_advantage_any_k(df: DataFrame, hot_rows: int | None = None) -> DataFram
     Group sums are aggregated and joined back, so a prompt with a third of all
     rollouts is spread over tasks.
     """
-    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
     stats = [F.sum("rlhf_reward").alias("__total"), F.count(F.lit(1)).alias("__n")]
-    joined = attach_group_stats(df, ["update_id", "prompt_id"], stats, "rollout_id", **extra)
+    joined = attach_group_stats(df, ["update_id", "prompt_id"], stats, "rollout_id", hot_rows)
     return joined.withColumn(
         "advantage", R.leave_one_out(F.col("rlhf_reward"), F.col("__total"), F.col("__n"))
     ).drop("__total", "__n")

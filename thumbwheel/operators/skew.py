@@ -18,8 +18,9 @@ MAX_HOT_KEYS = 4096
 _PIECES, _PIECE = "__pieces", "__piece"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """The largest keys with at least ``hot_rows`` rows, and the pieces to cut each into."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     n = F.count(F.lit(1))
     return (
         df.groupBy(*keys)
@@ -49,7 +50,7 @@ def lookup_join(
     keys: Sequence[str],
     row_key: str,
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
     """Join many ``rows`` to one ``dimension`` row per key (``how``: inner or left)."""
@@ -71,7 +72,7 @@ def attach_group_stats(
     keys: Sequence[str],
     stats: Sequence[Column],
     row_key: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Each row with aggregates of its whole group; NULL keys form a group, as in ``groupBy``.
 

@@ -13,6 +13,7 @@ from thumbwheel import schemas
 from thumbwheel.operators.reshape import reference_text
 from thumbwheel.operators.selection import head_examples
 
+# Names of the source splits and of ours.
 SPLIT_NAMES = {"train_prefs": "train", "test_prefs": "test"}
 MAX_BROADCAST_FILES = 100_000
 

@@ -26,7 +26,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     quarters = lambda c: (F.length(c) % 21).cast("double") / 4
     return base.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("example_id"),
+        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("example_id"),
         F.when(F.col("conv_id") % 10 == 0, "test").otherwise("train").alias("split"),
         F.concat(F.lit("p"), F.col("conv_id").cast("string")).alias("prompt_id"),
         "prompt",

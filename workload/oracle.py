@@ -17,7 +17,7 @@ s as (select *, lead(role) over (partition by conv_id order by turn) nr,
              lead(text) over (partition by conv_id order by turn) nt from conversations),
 p as (select conv_id, turn, text prompt, nt reply from s where role = 'user' and nr = 'assistant'),
 q as (select *, lead(reply) over (partition by conv_id order by turn) rej from p),
-pairs as (select conv_id * 1000 + turn example_id,
+pairs as (select conv_id * 1000000 + turn example_id,
                  case when conv_id % 10 = 0 then 'test' else 'train' end split,
                  'p' || conv_id prompt_id, prompt, reply chosen, rej rejected,
                  cast(length(reply) % 21 as double) / 4 score_chosen,
@@ -190,9 +190,9 @@ def build() -> dict[str, str]:
     sql["prompt_to_chat"] = _with(PAIRS) + "select example_id, 'user=' || prompt prompt from pairs"
     sql["pairs_to_unpaired"] = _with(PAIRS) + f"""
         select example_id, branch, split, prompt, {_dialogue('reply')} completion, label from unpaired"""
-    sql["keep_assistant"] = """select conv_id, count(*) filter (role = 'assistant') n_messages,
+    sql["keep_assistant"] = """select conv_id, turn // 4096 segment, count(*) filter (role = 'assistant') n_messages,
         coalesce(string_agg(role || '=' || text, '|' order by turn) filter (role = 'assistant'), '') rendered
-        from conversations group by 1"""
+        from conversations group by 1, 2"""
     sql["build_kto_dataset"] = _with(PAIRS) + """
         select example_id, branch, split, 'user=' || prompt prompt, 'assistant=' || reply completion,
                1::bigint n_messages, label = 1 as label from unpaired"""
@@ -412,7 +412,7 @@ def build() -> dict[str, str]:
         cast(length(text) % 7 as double) / 4 logit1 from documents join labels using (doc_id)"""
     sql["generate_completions"] = _with(COMPLETIONS) + f"""
         select ordinal, '{_KTO}' model, trim('Echo: ' || prompt, {_STRIP}) text
-        from prompts order by ordinal limit 1000"""
+        from prompts"""
     sql["judge_against_reference"] = _with(COMPLETIONS) + f"""
         , j as (select model, {JUDGED_WINNER} winner from (select c.model, d.text answer_a, c.text answer_b
                 from comp c join documents d on c.ordinal = d.doc_id where c.model <> '{_SFT}'))

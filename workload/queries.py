@@ -187,6 +187,7 @@ def keep_assistant(spark, d):
     out = reshape.keep_assistant(whole, "messages")
     return out.select(
         "conv_id",
+        "segment",
         F.size("messages").cast("long").alias("n_messages"),
         reshape.messages_text(F.col("messages")).alias("rendered"),
     )
@@ -741,7 +742,7 @@ def batch_score(spark, d):
 @query
 def generate_completions(spark, d):
     prompts = I.prompts(spark, d)
-    return evaluation.generate_completions(prompts, judges.echo_generator, I.MODELS[2], n=1000)
+    return evaluation.generate_completions(prompts, judges.echo_generator, I.MODELS[2])
 
 
 @query
