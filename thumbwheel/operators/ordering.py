@@ -32,7 +32,8 @@ def shuffle_batches(
     Rows are ordered by a digest of (seed, epoch, key). The digest's first
     digits cut the order into evenly filled buckets, so each row's position is
     its rank in its bucket plus the rows of the buckets before. ``within``
-    permutes inside each group (an update) instead of over the table.
+    permutes inside each group (an update) instead of over the table. ``key`` is
+    unique (within its group).
     """
     groups = ["ppo_epoch", *within]
     hashed = (
