@@ -28,28 +28,47 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     for key, setting in (settings or {}).items():
         builder = builder.config(key, setting)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ensure_work_folder(spark)
+    return spark
 
 
-def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+def ensure_work_folder(spark: SparkSession) -> None:
+    """Give a single-machine session that names no work folder a temporary one.
 
-    Only a local session without that setting gets a temporary folder of its
-    own: executors on other machines could not see one.
+    For tests, the bench and ad-hoc local sessions. A cluster must name the
+    folder itself: its machines could not see one made here.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.startswith("local") and not _named_folder(spark):
+        if not spark.sparkContext.master.startswith("local-cluster"):
+            spark.conf.set(CHECKPOINT_KEY, tempfile.mkdtemp(prefix="thumbwheel-"))
+
+
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+
+
+def work_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; required."""
+    root = _named_folder(spark)
+    if not root:
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="thumbwheel-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the work folder; never reused, so writers cannot collide."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table in the work folder that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
