@@ -104,14 +104,14 @@ def rloo_advantage(df: DataFrame, k: int) -> DataFrame:
     )
 
 
-def rloo_advantage_any_k(df: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def rloo_advantage_any_k(df: DataFrame) -> DataFrame:
     """The same over all samples of a prompt, however many there are.
 
     Group sums are aggregated and joined back, so a prompt with a third of all
     rollouts is spread over tasks.
     """
     stats = [F.sum("rlhf_reward").alias("__total"), F.count(F.lit(1)).alias("__n")]
-    joined = attach_group_stats(df, ["update_id", "prompt_id"], stats, "rollout_id", hot_rows)
+    joined = attach_group_stats(df, ["update_id", "prompt_id"], stats, "rollout_id")
     return joined.withColumn(
         "advantage", R.leave_one_out(F.col("rlhf_reward"), F.col("__total"), F.col("__n"))
     ).drop("__total", "__n")

@@ -1,9 +1,9 @@
 """Equi-joins and group statistics that survive a key holding a large share of the rows.
 
-Which keys are hot is counted first. At most ``MAX_HOT_KEYS`` of them (the
-largest) are broadcast as bare keys with a piece count, whatever the input
-size; rows of a hot key are spread over its pieces and the matching dimension
-row is repeated once per piece. No row is dropped and no other key changes.
+Every key is cut into pieces by a hash of the row's own key, whatever its size:
+a key meets the dimension once per piece that has rows, so a small key costs at
+most as many pieces as it has rows and a large one is spread over all of them.
+Nothing is counted first and no threshold changes the plan.
 """
 
 from __future__ import annotations
@@ -13,23 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 4096
-_PIECES, _PIECE = "__pieces", "__piece"
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """The largest keys with at least ``hot_rows`` rows, and the pieces to cut each into."""
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    n = F.count(F.lit(1))
-    return (
-        df.groupBy(*keys)
-        .agg(n.alias("__n"))
-        .where(F.col("__n") >= hot_rows)
-        .orderBy(F.desc("__n"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias(_PIECES))
-    )
+PIECES = 32
+_PIECE = "__piece"
 
 
 def _join_on(
@@ -50,21 +35,14 @@ def lookup_join(
     keys: Sequence[str],
     row_key: str,
     how: str = "inner",
-    hot_rows: int | None = None,
+    pieces: int = PIECES,
     null_safe: bool = False,
 ) -> DataFrame:
     """Join many ``rows`` to one ``dimension`` row per key (``how``: inner or left)."""
-    hot = F.broadcast(hot_keys(rows, keys, hot_rows))
-    piece_of_row = F.pmod(F.xxhash64(row_key), F.coalesce(_PIECES, F.lit(1))).cast("int")
-    every_piece = F.sequence(F.lit(0), F.coalesce(_PIECES, F.lit(1)) - 1)
-    spread = _join_on(rows, hot, keys, "left", True).withColumn(_PIECE, piece_of_row)
-    repeated = _join_on(dimension, hot, keys, "left", True).withColumn(
-        _PIECE, F.explode(every_piece)
-    )
-    joined = _join_on(
-        spread.drop(_PIECES), repeated.drop(_PIECES), [*keys, _PIECE], how, null_safe
-    )
-    return joined.drop(_PIECE)
+    spread = rows.withColumn(_PIECE, F.pmod(F.xxhash64(row_key), F.lit(pieces)).cast("int"))
+    occupied = spread.select(*keys, _PIECE).distinct()
+    placed = _join_on(occupied, dimension, keys, "inner", null_safe)
+    return _join_on(spread, placed, [*keys, _PIECE], how, null_safe).drop(_PIECE)
 
 
 def attach_group_stats(
@@ -72,7 +50,7 @@ def attach_group_stats(
     keys: Sequence[str],
     stats: Sequence[Column],
     row_key: str,
-    hot_rows: int | None = None,
+    pieces: int = PIECES,
 ) -> DataFrame:
     """Each row with aggregates of its whole group; NULL keys form a group, as in ``groupBy``.
 
@@ -80,4 +58,4 @@ def attach_group_stats(
     the shuffle, so a group is never gathered in one place.
     """
     groups = df.groupBy(*keys).agg(*stats)
-    return lookup_join(df, groups, keys, row_key, "inner", hot_rows, null_safe=True)
+    return lookup_join(df, groups, keys, row_key, "inner", pieces, null_safe=True)
