@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from thumbwheel.llm import licenses
 from thumbwheel.llm.html_text import extract_pages
 from thumbwheel.llm.quality import quality_verdicts
 from thumbwheel.llm.toxicity import classify_toxicity
+from thumbwheel.llm.warc import read_archives, write_archives
 from thumbwheel.llm.words import table
+from thumbwheel.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +24,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_warc(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch_path(spark, "archives")
+    write_archives(spark, table(spark, d, "pages"), folder)
+    return read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+    )
+
+
 @query
 def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return classify_toxicity(spark, table(spark, d, "documents"), table(spark, d, "labels"))
@@ -38,3 +50,11 @@ def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_html_extraction(spark: SparkSession, d: str) -> DataFrame:
     return extract_pages(table(spark, d, "pages"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan_licences(table(spark, d, "documents"))
+
+
+ORACLE["op10_license_scan"] = licenses.oracle()
