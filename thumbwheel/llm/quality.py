@@ -1,11 +1,13 @@
 """Quality rules: a hashed n-gram log-likelihood ratio behind a few base rules.
 
-Two multinomials over hashed byte n-grams are counted: one over the documents
+Two multinomials over hashed byte n-grams are counted: one over documents
 labelled trustworthy, one over the whole corpus. A document's score is the mean
 over its n-grams of log p_target - log p_corpus, so it does not depend on
-length, and the document is kept when the score reaches ``threshold``. Counts
-cover every document; the model is a table of ``buckets`` numbers whatever the
-input size.
+length, and the document is kept when the score reaches ``threshold``. The
+corpus counts cover every document; the trusted ones are a bounded sample of the
+labelled rows, the ``max_trusted`` with the smallest hash of doc_id, so their
+ids can be broadcast and no text is shuffled. The model is a table of
+``buckets`` numbers whatever the input size.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ class QualityRules:
     bucket_bits: int = 16
     smoothing: float = 0.5  # added to every bucket of both multinomials
     threshold: float = -0.15  # nats per n-gram
+    max_trusted: int = 20_000  # labelled rows that make the target multinomial, at most
     min_words: int = 10
     max_repeat_percent: int = 20
     repeat_window: int = 5
@@ -89,13 +92,16 @@ def base_figures(text: str | None, rules: QualityRules) -> tuple[int, int, int,
     return len(words), n_chars, n_symbols, repeated, repeated_words(words, rules.repeat_window)
 
 
-def with_target_flag(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, is_target``: whether any label calls the document trustworthy."""
+def with_target_flag(docs: DataFrame, labels: DataFrame, rules: QualityRules) -> DataFrame:
+    """``text, is_target``: whether the document is in the trusted sample."""
     good = (
         labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-        .select("doc_id").distinct().withColumn("is_target", F.lit(True))
+        .select("doc_id").distinct()
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.max_trusted)
+        .withColumn("is_target", F.lit(True))
     )
-    return docs.select("doc_id", "text").join(good, "doc_id", "left").select(
+    # At most max_trusted keys, whatever the size of the tables.
+    return docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left").select(
         "text", F.coalesce("is_target", F.lit(False)).alias("is_target")
     )
 
@@ -158,7 +164,7 @@ def quality_verdicts(
     ``labels`` table both multinomials differ by smoothing only, so the scores
     say little and the base rules decide most documents.
     """
-    return score_documents(docs, log_ratios(ngram_counts(with_target_flag(docs, labels), rules), rules), rules)
+    return score_documents(docs, log_ratios(ngram_counts(with_target_flag(docs, labels, rules), rules), rules), rules)
 
 
 def score_documents(docs: DataFrame, ratios: np.ndarray, rules: QualityRules) -> DataFrame:
