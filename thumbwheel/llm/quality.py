@@ -31,8 +31,8 @@ _BREAK_TEXT = _BREAKS.decode()
 class QualityRules:
     order: int = 4  # bytes in an n-gram
     bucket_bits: int = 16
-    smoothing: float = 0.5  # added to every bucket of both multinomials
-    threshold: float = -0.15  # nats per n-gram
+    smoothing: float = 50.0  # corpus n-grams added to every bucket; the target gets its share of them
+    threshold: float = -0.3  # nats per n-gram
     max_trusted: int = 20_000  # labelled rows that make the target multinomial, at most
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -147,9 +147,11 @@ def log_ratios(counts: DataFrame, rules: QualityRules) -> np.ndarray:
     target, corpus = np.zeros(rules.buckets), np.zeros(rules.buckets)
     for row in counts.collect():
         target[row["bucket"]], corpus[row["bucket"]] = row["n_target"], row["n_corpus"]
-    a = rules.smoothing
-    log_p = lambda n: np.log((n + a) / (n.sum() + a * rules.buckets))
-    return log_p(target) - log_p(corpus)
+    share = target.sum() / max(corpus.sum(), 1)
+    if not share:
+        return np.zeros(rules.buckets)
+    # Totals of both multinomials stand in the same ratio as their smoothing, so they cancel.
+    return np.log((target / share + rules.smoothing) / (corpus + rules.smoothing))
 
 
 def quality_verdicts(
@@ -160,9 +162,8 @@ def quality_verdicts(
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, score, kept. Null and empty texts have zero
     figures, score 0 and fail the base rules. Repeated rows each get their own
-    row; other columns of ``docs`` and ``labels`` are not read. With an empty
-    ``labels`` table both multinomials differ by smoothing only, so the scores
-    say little and the base rules decide most documents.
+    row; other columns of ``docs`` and ``labels`` are not read. Without trusted
+    labels every score is 0 and the base rules alone decide.
     """
     return score_documents(docs, log_ratios(ngram_counts(with_target_flag(docs, labels, rules), rules), rules), rules)
 

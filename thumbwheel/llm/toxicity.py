@@ -27,11 +27,11 @@ from thumbwheel.llm.words import GOLDEN, U64, map_batches
 class ToxicityConfig:
     order: int = 4
     bucket_bits: int = 16
-    features: int = 2048
+    features: int = 1024
     per_class: int = 10_000  # training rows of each class, at most
     steps: int = 150
     rate: float = 0.2
-    ridge: float = 1e-4
+    ridge: float = 1e-3
     threshold: float = 0.7
 
     @property
