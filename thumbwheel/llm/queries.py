@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from thumbwheel.llm import licenses
+from thumbwheel.llm import ann, licenses
 from thumbwheel.llm.html_text import extract_pages
 from thumbwheel.llm.quality import quality_verdicts
 from thumbwheel.llm.toxicity import classify_toxicity
@@ -33,6 +34,11 @@ def op1_warc(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op6_nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return ann.search(spark, table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return classify_toxicity(spark, table(spark, d, "documents"), table(spark, d, "labels"))
