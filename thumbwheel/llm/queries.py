@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from thumbwheel.llm import ann, licenses
 from thumbwheel.llm.html_text import extract_pages
+from thumbwheel.llm.packing import pack_documents
 from thumbwheel.llm.quality import quality_verdicts
 from thumbwheel.llm.toxicity import classify_toxicity
 from thumbwheel.llm.warc import read_archives, write_archives
@@ -34,6 +35,11 @@ def op1_warc(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op5_packing(spark: SparkSession, d: str) -> DataFrame:
+    return pack_documents(spark, table(spark, d, "documents"))
+
+
 @query
 def op6_nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return ann.search(spark, table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
