@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from thumbwheel.llm import ann, licenses
 from thumbwheel.llm.html_text import extract_pages
+from thumbwheel.llm.neardup import near_duplicates
 from thumbwheel.llm.packing import pack_documents
 from thumbwheel.llm.quality import quality_verdicts
 from thumbwheel.llm.toxicity import classify_toxicity
@@ -35,6 +36,11 @@ def op1_warc(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op3_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(spark, table(spark, d, "documents"))
+
+
 @query
 def op5_packing(spark: SparkSession, d: str) -> DataFrame:
     return pack_documents(spark, table(spark, d, "documents"))
