@@ -32,10 +32,21 @@ def op1_warc(spark: SparkSession, d: str) -> DataFrame:
     folder = scratch_path(spark, "archives")
     write_archives(spark, table(spark, d, "pages"), folder)
     return read_archives(spark, folder).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 
+ORACLE["op1_warc"] = """
+    with keyed as (select page_id, octet_length(encode(coalesce(html, ''))) payload_bytes,
+                          sha256(coalesce(html, '')) payload_digest from pages),
+    firsts as (select *, min(page_id) over (partition by payload_digest) first_id from keyed),
+    kinds as (select *, payload_bytes >= 100 and page_id is distinct from first_id
+                        and first_id is not null again from firsts)
+    select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end record_type,
+           case when again then first_id end refers_to from kinds
+"""
+
+
 @query
 def op3_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(spark, table(spark, d, "documents"))

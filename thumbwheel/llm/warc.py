@@ -1,8 +1,8 @@
 """Web archives: deterministic shards, regenerated headers and digests, two-phase commit.
 
-Pages are laid out in key order and cut into shards of about ``shard_bytes``
-by running sums of their sizes, so the shard of a page depends on the table
-alone. Each shard is written in order by one task, which rolls to a new file
+Keys are laid out in order and cut into shards of about ``shard_bytes`` by
+running sums of their pages' sizes, so the shard of a page depends on the table
+alone; pages are shuffled once, to the task of their shard. Each shard is written in order by one task, which rolls to a new file
 when the compressed size reaches ``roll_bytes``. Attempts write under names of
 their own; only the files of successful tasks reach the pending manifest, and a
 second job renames those and writes the manifest that readers go by. Both
@@ -21,6 +21,8 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -34,51 +36,68 @@ from thumbwheel.operators.skew import lookup_join
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+MAX_FILE_TASKS = 10_000
 MANIFEST_SCHEMA = "name string, temporary string, shard long, roll long, n_records long, n_bytes long, sha256 string"
 
 
 @dataclass(frozen=True)
 class ArchiveConfig:
     prefix: str = "pages"
-    shard_bytes: int = 32 << 20  # of payload
+    shard_bytes: int = 32 << 20  # of payload, more if there would be too many shards
+    max_shards: int = 65_536
     roll_bytes: int = 16 << 20  # of compressed file
     min_revisit_bytes: int = 100
     level: int = 6
     date: str = "2000-01-01T00:00:00Z"  # of every record: files depend on the table alone
 
 
+def _keyed(pages: DataFrame) -> DataFrame:
+    payload = F.coalesce("html", F.lit("")).cast("binary")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")).withColumn(
+        "digest", F.sha2("payload", 256)
+    )
+
+
+def shard_starts(spark: SparkSession, keys: DataFrame, cfg: ArchiveConfig) -> list[int]:
+    """The first page_id of every shard but the first: at most ``max_shards`` numbers."""
+    sizes = keys.where("page_id is not null").groupBy("page_id").agg(F.sum("row_bytes").alias("row_bytes"))
+    placed = running_offsets(spark, sizes, ["page_id"], "row_bytes")
+    size = F.greatest(F.lit(cfg.shard_bytes), F.ceil(F.col("grand_total") / cfg.max_shards))
+    shards = placed.groupBy(F.floor(F.col("start") / size).alias("shard")).agg(F.min("page_id").alias("first"))
+    return sorted(r["first"] for r in shards.collect())[1:]
+
+
 def planned_records(spark: SparkSession, pages: DataFrame, cfg: ArchiveConfig, scratch: Scratch) -> DataFrame:
-    """Pages with payload size, digest, ``refers_to`` and ``shard``."""
-    keyed = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        "url",
-        F.coalesce("html", F.lit("")).cast("binary").alias("payload"),
-    ).withColumns({"digest": F.sha2("payload", 256), "n_bytes": F.octet_length("payload").cast("long")})
-    slim = scratch.keep(
-        keyed.groupBy("page_id", "digest").agg(
-            F.max("n_bytes").alias("n_bytes"), F.sum("n_bytes").alias("row_bytes"), F.count("*").alias("n_rows")
+    """Rows for the writers: pages, and before the pages of a key what they refer to.
+
+    The hint rows carry no payload; both kinds know their shard.
+    """
+    keys = scratch.keep(
+        _keyed(pages).groupBy("page_id", "digest").agg(
+            F.max(F.octet_length("payload")).alias("n_bytes"),
+            F.sum(F.octet_length("payload").cast("long")).alias("row_bytes"), F.count("*").alias("n_rows"),
         ),
         "keys",
     )
     firsts = (
-        slim.where(F.col("n_bytes") >= cfg.min_revisit_bytes)
-        .groupBy("digest").agg(F.min("page_id").alias("first"), F.sum("n_rows").alias("__n"))
+        keys.where(F.col("n_bytes") >= cfg.min_revisit_bytes)
+        .groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.sum("n_rows").alias("__n"))
         .where("__n > 1").drop("__n")
     )
-    revisits = lookup_join(slim, firsts, ["digest"], "page_id", "left").select(
-        "page_id", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to")
+    hints = lookup_join(keys.select("page_id", "digest"), firsts, ["digest"], "page_id").where(
+        ~F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("refers_to").isNotNull()
     )
-    placed = running_offsets(spark, slim, ["page_id", "digest"], "row_bytes").select(
-        "page_id", "digest", F.floor(F.col("start") / cfg.shard_bytes).cast("long").alias("shard")
+    starts = np.array(shard_starts(spark, keys, cfg), np.int64)
+
+    @F.pandas_udf("long")
+    def shard(page_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts, page_id.to_numpy(), side="right"))
+
+    absent = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    rows = _keyed(pages).select("page_id", "digest", "url", "payload", absent("long", "refers_to")).unionByName(
+        hints.select("page_id", "digest", absent("string", "url"), absent("binary", "payload"), "refers_to")
     )
-    plan = revisits.alias("r").join(
-        placed.alias("p"),
-        F.col("r.page_id").eqNullSafe(F.col("p.page_id")) & (F.col("r.digest") == F.col("p.digest")),
-    ).select("r.page_id", "r.digest", "refers_to", "shard")
-    plan = scratch.keep(plan, "plan")
-    return keyed.alias("k").join(
-        plan.alias("p"), F.col("k.page_id").eqNullSafe(F.col("p.page_id")) & (F.col("k.digest") == F.col("p.digest"))
-    ).select("k.page_id", "url", "payload", "k.digest", "refers_to", "shard")
+    return rows.withColumn("shard", shard(F.coalesce("page_id", F.lit(-(1 << 63)))))
 
 
 def _record_id(*parts: object) -> str:
@@ -143,7 +162,9 @@ def write_archives(
     """
     scratch = Scratch(spark, "warc")
     records = planned_records(spark, pages, cfg, scratch)
-    ordered = records.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    ordered = records.repartition("shard").sortWithinPartitions(
+        "shard", "page_id", "digest", F.desc_nulls_last("refers_to"), "url"
+    )
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
@@ -163,8 +184,13 @@ def write_archives(
             files[-1]["hash"].update(data)
             files[-1]["n_bytes"] += len(data)
 
+        hint = None
         for batch in batches:
-            for page_id, url, payload, refers_to, shard in zip(*(c.to_pylist() for c in batch.columns)):
+            for page_id, digest, url, payload, refers_to, shard in zip(*(c.to_pylist() for c in batch.columns)):
+                if payload is None:
+                    hint = (page_id, digest, refers_to)
+                    continue
+                refers_to = hint[2] if hint and hint[:2] == (page_id, digest) else None
                 if out is None or files[-1]["shard"] != shard or files[-1]["n_bytes"] >= cfg.roll_bytes:
                     roll = files[-1]["roll"] + 1 if files and files[-1]["shard"] == shard else 0
                     close()
@@ -189,7 +215,7 @@ def write_archives(
             yield pa.RecordBatch.from_pydict({n: [f[n] for f in files] for n in names})
 
     pending = scratch.keep(
-        ordered.select("page_id", "url", "payload", "refers_to", "shard").mapInArrow(write, MANIFEST_SCHEMA), "pending"
+        ordered.select("page_id", "digest", "url", "payload", "refers_to", "shard").mapInArrow(write, MANIFEST_SCHEMA), "pending"
     )
 
     def publish(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -199,12 +225,17 @@ def write_archives(
                 fs.move(f"{root}/{temporary}", f"{root}/{name}")
         yield batch
 
-    manifest = map_batches(pending.repartition("name"), publish, MANIFEST_SCHEMA).drop("temporary")
+    manifest = map_batches(_by_file(pending), publish, MANIFEST_SCHEMA).drop("temporary")
     manifest.write.mode("overwrite").parquet(f"{folder}/_manifest")
     scratch.drop("")
     return spark.read.parquet(f"{folder}/_manifest")
 
 
+def _by_file(manifest: DataFrame) -> DataFrame:
+    """Files dealt out over tasks; their rows are too small for Spark to see the work behind them."""
+    return manifest.repartition(max(1, min(manifest.count(), MAX_FILE_TASKS)))
+
+
 def records_of(stream: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of one file, a gzip member at a time."""
     inflater, data = zlib.decompressobj(31), []
@@ -253,7 +284,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 yield _rows_batch(rows, names)
 
     manifest = spark.read.parquet(f"{folder}/_manifest").select("name")
-    return map_batches(manifest.repartition("name"), read, schema)
+    return map_batches(_by_file(manifest), read, schema)
 
 
 def _rows_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
