@@ -12,6 +12,7 @@ from thumbwheel.llm.html_text import extract_pages
 from thumbwheel.llm.neardup import near_duplicates
 from thumbwheel.llm.packing import pack_documents
 from thumbwheel.llm.quality import quality_verdicts
+from thumbwheel.llm.substring import remove_repeats
 from thumbwheel.llm.toxicity import classify_toxicity
 from thumbwheel.llm.warc import read_archives, write_archives
 from thumbwheel.llm.words import table
@@ -47,6 +48,29 @@ ORACLE["op1_warc"] = """
 """
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    kept = remove_repeats(spark, table(spark, d, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op2_substring_dedup"] = r"""
+    with worded as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                           lambda w: w <> '') w from documents),
+    starts as (select doc_id, w, unnest(range(1, len(w) - 18)) s from worded),
+    windows as (select doc_id, s, row_number() over (partition by array_to_string(w[s:s + 19], ' ')
+                                                     order by doc_id, s) nth from starts),
+    covered as (select distinct doc_id, unnest(range(s, s + 20)) p from windows where nth > 1),
+    words as (select doc_id, unnest(w) word, unnest(range(1, len(w) + 1)) p from worded),
+    kept as (select doc_id, count(*) n_words, count(c.p) n_removed,
+                    string_agg(case when c.p is null then word end, ' ' order by p) t
+             from words left join covered c using (doc_id, p) group by doc_id)
+    select doc_id, coalesce(n_words, 0) n_words, coalesce(n_removed, 0) n_removed,
+           sha256(coalesce(t, '')) kept_sha256
+    from documents left join kept using (doc_id)
+"""
+
+
 @query
 def op3_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(spark, table(spark, d, "documents"))

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from thumbwheel.session import remove_path, scratch_path
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables written for one job.
 
@@ -22,9 +25,18 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        # The table takes the place of the shuffle files behind it, which go when it is written.
+        before = self.spark.conf.get(SHUFFLE_CLEANUP, "false")
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            self._write(df, name)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def _write(self, df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+
     def drop(self, *names: str) -> None:
         for name in names:
             remove_path(self.spark, self.path(name))
