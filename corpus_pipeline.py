@@ -1,28 +1,83 @@
-"""A training corpus from raw documents: STAGES, each written and read again by ``run``."""
+"""A training corpus from raw documents.
+
+``STAGES`` lists the stages; each takes the session, the documents that its
+predecessor kept and the folder of the tables. All but the last return the columns
+of ``documents``; the last returns where every token lies in the training sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thumbwheel.llm.mixing import mix_documents
+from thumbwheel.llm.neardup import near_duplicates
+from thumbwheel.llm.packing import pack_documents
 from thumbwheel.llm.quality import quality_verdicts
+from thumbwheel.llm.queries import MIX_TARGETS, labelled_domains
+from thumbwheel.llm.substring import remove_repeats
 from thumbwheel.llm.words import table
 from thumbwheel.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    verdicts = quality_verdicts(docs, table(spark, sf_dir, "labels")).select("doc_id", "kept").distinct()
-    return docs.join(verdicts.where("kept"), "doc_id", "left_semi").select(*COLUMNS)
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the rules keep; null and empty texts go."""
+    verdicts = quality_verdicts(docs, table(spark, sf_dir, "labels"), carry=COLUMNS[1:])
+    return verdicts.where("kept").select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, and one row of each document.
+
+    Rows without a doc_id belong to no group and all stay.
+    """
+    kept = near_duplicates(spark, docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that occur earlier.
+
+    A text that loses nothing keeps its white space, one that loses all its words goes.
+    """
+    named = docs.withColumn("whole", F.col("text"))
+    cut = remove_repeats(spark, named, carry=["whole", "lang", "source"])
+    text = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("whole"))
+    left = cut.where("n_words = 0 or n_removed < n_words").select("doc_id", text.alias("text"), "lang", "source")
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the fitted mixture wants it; without a doc_id, once."""
+    labelled = labelled_domains(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    copies = mix_documents(spark, docs, labelled, MIX_TARGETS).groupBy("doc_id").agg(F.max("copies").alias("copies"))
+    wanted = docs.join(copies.where("doc_id is not null"), "doc_id", "left")
+    times = F.array_repeat(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))
+    return wanted.select(*COLUMNS, F.explode(times).alias("copy")).select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in full sequences."""
+    return pack_documents(spark, docs)
+
 
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicate removal", near_dedup),
+    ("substring removal", substring_dedup),
+    ("source mixing", source_mixing),
+    ("packing", packing),
+]
 
-STAGES = [("quality rules", quality)]
+#: No SQL: quality and mixing fit models, packing tokenizes. tests/llm compares with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))

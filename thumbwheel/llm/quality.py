@@ -12,7 +12,7 @@ ids can be broadcast and no text is shuffled. The model is a table of
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thumbwheel.llm.words import GOLDEN, U64, map_batches, split_words, window_hashes, word_hashes
+from thumbwheel.llm.words import GOLDEN, U64, carried_schema, map_batches, window_hashes, word_hashes
 
 SYMBOLS = b"#*$%&|<>"
 _BREAKS = b" \t\n\x0b\x0c\r"
@@ -155,20 +155,24 @@ def log_ratios(counts: DataFrame, rules: QualityRules) -> np.ndarray:
 
 
 def quality_verdicts(
-    docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()
+    docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules(), carry: Sequence[str] = ()
 ) -> DataFrame:
     """Figures and verdict of every document, one row per row of ``docs``.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, score, kept. Null and empty texts have zero
+    n_repeat_words, base_failed, score, kept, and the columns of ``docs`` named in
+    ``carry``. Null and empty texts have zero
     figures, score 0 and fail the base rules. Repeated rows each get their own
     row; other columns of ``docs`` and ``labels`` are not read. Without trusted
     labels every score is 0 and the base rules alone decide.
     """
-    return score_documents(docs, log_ratios(ngram_counts(with_target_flag(docs, labels, rules), rules), rules), rules)
+    counts = ngram_counts(with_target_flag(docs, labels, rules), rules)
+    return score_documents(docs, log_ratios(counts, rules), rules, carry)
 
 
-def score_documents(docs: DataFrame, ratios: np.ndarray, rules: QualityRules) -> DataFrame:
+def score_documents(
+    docs: DataFrame, ratios: np.ndarray, rules: QualityRules, carry: Sequence[str] = ()
+) -> DataFrame:
     weights = ratios.astype(np.float64)
 
     def score(batch: pa.RecordBatch):
@@ -179,14 +183,16 @@ def score_documents(docs: DataFrame, ratios: np.ndarray, rules: QualityRules) ->
             scores.append(float(weights[found].mean()) if len(found) else 0.0)
         columns = [pa.array(c, pa.int64()) for c in zip(*figures)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *columns, pa.array(scores, pa.float64())],
-            ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"],
+            [batch.column(0), *columns, pa.array(scores, pa.float64()), *batch.columns[2:]],
+            ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", *carry],
         )
 
+    # Carried columns under names of their own: one may be called like a column here.
+    own = (F.col(c).alias(f"__carry_{i}") for i, c in enumerate(carry))
     scored = map_batches(
-        docs.select(F.col("doc_id").cast("long"), "text"), score,
+        docs.select(F.col("doc_id").cast("long"), "text", *own), score,
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, score double",
+        "n_repeat_words long, score double" + carried_schema(docs, carry),
     )
     failed = (F.col("n_words") < rules.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_percent

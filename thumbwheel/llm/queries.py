@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from thumbwheel.llm import ann, licenses
 from thumbwheel.llm.html_text import extract_pages
+from thumbwheel.llm.mixing import mix_documents
 from thumbwheel.llm.neardup import near_duplicates
 from thumbwheel.llm.packing import pack_documents
 from thumbwheel.llm.quality import quality_verdicts
@@ -76,6 +77,23 @@ def op3_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(spark, table(spark, d, "documents"))
 
 
+# Share of tokens wanted of each domain; the labelled documents' languages are the domains.
+MIX_TARGETS = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The domain of the documents that the labels table lists."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(
+        labels.select("doc_id").distinct(), "doc_id", "left_semi"
+    )
+
+
+@query
+def op4_source_mixing(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return mix_documents(spark, docs, labelled_domains(docs, table(spark, d, "labels")), MIX_TARGETS)
+
+
 @query
 def op5_packing(spark: SparkSession, d: str) -> DataFrame:
     return pack_documents(spark, table(spark, d, "documents"))

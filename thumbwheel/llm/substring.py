@@ -18,7 +18,7 @@ at those coordinates before it is cut out.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thumbwheel.llm.store import Scratch
-from thumbwheel.llm.words import BASE_A, BASE_B, U64, map_batches, mix, powers, signed, split_words, word_hashes
+from thumbwheel.llm.words import BASE_A, BASE_B, U64, carried_schema, map_batches, mix, powers, signed, split_words, word_hashes
 
 
 @dataclass(frozen=True)
@@ -282,9 +282,14 @@ def _kept_words(text: str | None, spans: list[dict] | None, cfg: PassageConfig)
     return len(words), int(gone.sum()), b" ".join(kept).decode("utf-8", "surrogatepass")
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, cfg: PassageConfig = PassageConfig()) -> DataFrame:
+def remove_repeats(
+    spark: SparkSession, docs: DataFrame, cfg: PassageConfig = PassageConfig(), carry: Sequence[str] = ()
+) -> DataFrame:
     """``doc_id, n_words, n_removed, text`` of every row: the words no earlier window covers.
 
+    ``text`` has the kept words joined by one space. Columns of ``docs`` named in
+    ``carry`` follow.
+
     Null and empty texts have no word and an empty text. Rows with a null doc_id
     take no part: nothing is removed from them and nothing counts as repeating
     them. Repeated rows are one document and come out alike. Other columns are not read.
@@ -300,9 +305,15 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, cfg: PassageConfig = Pa
             done = [_kept_words(t, s, cfg) for t, s in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
             n_words, n_removed, texts = zip(*done)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())],
-                ["doc_id", "n_words", "n_removed", "text"],
+                [part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string()),
+                 *part.columns[3:]],
+                ["doc_id", "n_words", "n_removed", "text", *carry],
             )
 
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(lists, "doc_id", "left")
-    return map_batches(joined.select("doc_id", "text", "spans"), cut, "doc_id long, n_words long, n_removed long, text string")
+    # Carried columns under names of their own: one may be called like a column here.
+    own = [f"__carry_{i}" for i in range(len(carry))]
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(o) for c, o in zip(carry, own))
+    )
+    schema = "doc_id long, n_words long, n_removed long, text string" + carried_schema(docs, carry)
+    return map_batches(rows.join(lists, "doc_id", "left").select("doc_id", "text", "spans", *own), cut, schema)

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Fixed value: what separates words (space and the control characters 9 to 13).
-WORD_BREAKS = r"[\x20\x09-\x0D]+"
+from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 GOLDEN = U64(0x9E3779B97F4A7C15)
@@ -20,15 +16,10 @@ BASE_B = U64(0xA0761D6478BD642F)
 
 
 def split_words(text: str | None) -> list[bytes]:
-    """Words of a whole text as UTF-8; ``bytes.split`` breaks at exactly ``WORD_BREAKS``."""
+    """Words of a whole text as UTF-8; ``bytes.split`` breaks at space and characters 9 to 13."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def word_column(text: Column) -> Column:
-    """The same words inside Spark; a null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAKS), lambda w: w != "")
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
 
@@ -75,10 +66,9 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def list_array(values: np.ndarray, lengths: Iterable[int]) -> pa.ListArray:
-    """A list column from concatenated values and the length of each row's list."""
-    offsets = np.concatenate([[0], np.cumsum(np.asarray(list(lengths), np.int64))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+def carried_schema(df: DataFrame, names: Sequence[str]) -> str:
+    """The columns ``names`` of ``df`` as the end of a schema text."""
+    return "".join(f", `{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
