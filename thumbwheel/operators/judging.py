@@ -17,9 +17,13 @@ def read_verdicts(df: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
-def flip_order(df: DataFrame, key: str, seed: int) -> DataFrame:
-    """Swap the answers of about half the rows, by a seeded coin on the key."""
-    flip = seeded_bit(F.col(key), seed)
+def flip_order(df: DataFrame, keys: str | Sequence[str], seed: int) -> DataFrame:
+    """Swap the answers of about half the rows, by a seeded coin on the keys.
+
+    Keys that tell matches apart give every match of a prompt its own coin.
+    """
+    names = [keys] if isinstance(keys, str) else list(keys)
+    flip = seeded_bit(F.concat_ws(":", *names), seed)
     return (
         df.withColumn("flipped", flip)
         .withColumn("__a", F.when(F.col("flipped"), F.col("answer_b")).otherwise(F.col("answer_a")))

@@ -83,7 +83,7 @@ def kto_objective(
     )
 
 
-def slot_means(df: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
+def slot_means(df: DataFrame) -> DataFrame:
     """The five policy statistics of every optimisation slot.
 
     Entropy and ratio are means over tokens, masked positions included.
@@ -94,10 +94,10 @@ def slot_means(df: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
         (F.avg("log_ratio_sq") * 0.5).alias("approxkl"),
         F.try_divide(F.sum("entropy_sum"), F.sum("n_tokens")).alias("entropy"),
         F.try_divide(F.sum("token_ratio_sum"), F.sum("n_tokens")).alias("ratio"),
-        *extra,
     )
 
 
+# The metric names below, here and in ``update_metrics``.
 def _over_slots() -> list[Column]:
     """Plain means of slot means: slots weigh the same whatever their size."""
     return [
@@ -118,45 +118,36 @@ def slot_stats(df: DataFrame) -> DataFrame:
 
 
 def update_metrics(
-    df: DataFrame, batch_size: int, k: int, n_train: int, elapsed: Column, lr: Column | None = None
+    scored: DataFrame,
+    policy: DataFrame,
+    batch_size: int,
+    k: int,
+    n_train: int,
+    elapsed: Column,
+    lr: Column | None = None,
 ) -> DataFrame:
     """One wide metric row per update.
 
-    Slots are aggregated first and carry the sums of the per-rollout objectives
-    along, so one pass gives both. Rollouts are counted in their first epoch
-    only. ``elapsed`` (seconds since the start) and ``lr`` are columns of the
-    input, constant within an update.
+    Objectives are means over ``scored`` (a row per rollout), policy statistics
+    over the slots of ``policy`` (a row per rollout and epoch); both are
+    aggregated before they meet by update. ``elapsed`` (seconds since the
+    start) and ``lr`` are columns of ``scored``, constant within an update.
     """
-    first = F.col("ppo_epoch") == 0
-    once = lambda name: F.sum(F.when(first, F.col(name))).alias(f"__{name}")
-    carried = [
-        once("kl"),
-        once("objective_entropy"),
-        once("non_score_reward"),
-        once("rlhf_reward"),
-        once("reward_score"),
-        once("num_eos"),
-        F.count(F.when(first, 1)).alias("__n"),
+    objectives = scored.groupBy("update_id").agg(
+        F.avg("kl").alias("objective/kl"),
+        F.avg("objective_entropy").alias("objective/entropy"),
+        F.avg("non_score_reward").alias("objective/non_score_reward"),
+        F.avg("rlhf_reward").alias("objective/rlhf_reward"),
+        F.avg("reward_score").alias("objective/scores"),
+        F.sum("num_eos").alias("val/num_eos_tokens"),
         F.max(elapsed).alias("__elapsed"),
-        F.max(lr if lr is not None else F.lit(None).cast("double")).alias("__lr"),
-    ]
-    mean = lambda name: F.try_divide(F.sum(f"__{name}"), F.sum("__n"))
+        F.max(lr if lr is not None else F.lit(None).cast("double")).alias("lr"),
+    )
+    slots = slot_means(policy).groupBy("update_id").agg(*_over_slots())
     episode = F.col("update_id") * F.lit(batch_size)
     return (
-        slot_means(df, carried)
-        .groupBy("update_id")
-        .agg(
-            mean("kl").alias("objective/kl"),
-            mean("objective_entropy").alias("objective/entropy"),
-            mean("non_score_reward").alias("objective/non_score_reward"),
-            mean("rlhf_reward").alias("objective/rlhf_reward"),
-            mean("reward_score").alias("objective/scores"),
-            *_over_slots(),
-            F.lit(0.0).alias("val/clipfrac_avg"),
-            F.sum("__num_eos").alias("val/num_eos_tokens"),
-            F.max("__elapsed").alias("__elapsed"),
-            F.max("__lr").alias("lr"),
-        )
+        objectives.join(slots, "update_id")
+        .withColumn("val/clipfrac_avg", F.lit(0.0))
         .withColumn("episode", episode)
         .withColumn("eps", F.floor(F.try_divide(episode, F.col("__elapsed"))).cast("long"))
         .withColumn("epoch", episode / F.lit(float(k * n_train)))

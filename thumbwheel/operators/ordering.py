@@ -1,7 +1,7 @@
 """Global order without a global sort in one task.
 
 Positions come from counts (or sums) per slice of the key space: only those
-per-slice totals meet in one place, and their number is fixed in advance.
+per-slice totals meet in one place.
 """
 
 from __future__ import annotations
@@ -12,10 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thumbwheel.functions.tokens import attention_mask, pad_to
-from thumbwheel.session import scratch_path
-
-HASH_BUCKETS = 65_536  # four hexadecimal digits
-MAX_BROADCAST_OFFSETS = 1_048_576
+from thumbwheel.session import remove_path, scratch_path
 
 
 def shuffle_batches(
@@ -26,6 +23,7 @@ def shuffle_batches(
     micro_batch: int,
     epochs: int = 1,
     within: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> DataFrame:
     """A fresh permutation per epoch, cut into contiguous mini- and micro-batches.
 
@@ -34,7 +32,15 @@ def shuffle_batches(
     its rank in its bucket plus the rows of the buckets before. ``within``
     permutes inside each group (an update) instead of over the table. ``key`` is
     unique (within its group).
+
+    ``buckets`` (per epoch and group) follows ``spark.sql.shuffle.partitions``
+    unless given: a bucket is ranked by one task, so it should hold about as
+    many rows as a shuffle partition, and 1 serves groups that fit into a task.
     """
+    if buckets is None:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Eight digits scaled to the number of buckets: later digests never lie in earlier buckets.
+    first_digits = F.conv(F.substring("__digest", 1, 8), 16, 10).cast("long")
     groups = ["ppo_epoch", *within]
     hashed = (
         df.withColumn("ppo_epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
@@ -42,7 +48,7 @@ def shuffle_batches(
             "__digest",
             F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("ppo_epoch"), F.col(key))),
         )
-        .withColumn("__bucket", F.conv(F.substring("__digest", 1, 4), 16, 10).cast("int"))
+        .withColumn("__bucket", F.shiftright(first_digits * buckets, 32).cast("int"))
     )
     before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -54,10 +60,6 @@ def shuffle_batches(
             *groups, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
         )
     )
-    # Without groups there are at most epochs * HASH_BUCKETS offsets; with them
-    # their number follows the data and the join is left to the planner.
-    if not within and epochs * HASH_BUCKETS <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
     rank = F.row_number().over(Window.partitionBy(*groups, "__bucket").orderBy("__digest", key))
     return (
         hashed.withColumn("__rank", rank)
@@ -80,7 +82,8 @@ def running_offsets(
     work folder first: sorting into ranges reads its input twice (sample, then
     shuffle), and the texts behind the lengths should be read once. The ranges
     are written too, because their totals and their rows are read separately
-    and must agree on which range a row belongs to.
+    and must agree on which range a row belongs to. The lengths are deleted
+    again; the ranges stay in the work folder as long as the result is in use.
     """
     sizes = scratch_path(spark, "lengths")
     df.select(*order, length).write.parquet(sizes)
@@ -91,6 +94,7 @@ def running_offsets(
         .withColumn("__range", F.spark_partition_id())
         .write.parquet(path)
     )
+    remove_path(spark, sizes)
     ranges = spark.read.parquet(path)
     totals = ranges.groupBy("__range").agg(F.sum(length).alias("__sum"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -154,17 +158,29 @@ def pack_sequences(
 
 
 def block_tokens(
-    spans: DataFrame, documents: DataFrame, order: Sequence[str], ids: str, eos: int = 1
+    starts: DataFrame, documents: DataFrame, order: Sequence[str], ids: str, block: int = 2048, eos: int = 1
 ) -> DataFrame:
-    """The token array of every packed block; a block never holds more than its size."""
-    piece = F.slice(
-        F.concat(F.col(ids), F.array(F.lit(eos))),
-        (F.col("from_token") + 1).cast("int"),
-        (F.col("to_token") - F.col("from_token")).cast("int"),
-    )
+    """The token array of every packed block; a block never holds more than its size.
+
+    ``starts`` has a row per document (``start`` and ``grand_total`` of
+    ``running_offsets``): a document's tokens meet their place once and are cut
+    there, so the work grows with the tokens, not with tokens times blocks.
+    """
+    stream = F.concat(F.col(ids), F.array(F.lit(eos)))
+    first = F.floor(F.col("start") / block)
+    last = F.floor((F.col("start") + F.size("__ids") - 1) / block)
+
+    def cut(b: Column) -> Column:
+        begin = F.greatest(b * block - F.col("start"), F.lit(0)).cast("int")
+        end = F.least((b + 1) * block - F.col("start"), F.size("__ids").cast("long")).cast("int")
+        return F.struct(b.alias("block"), F.slice("__ids", begin + 1, end - begin).alias("piece"))
+
+    full = F.floor(F.col("grand_total") / block)
     return (
-        spans.join(documents.select(*order, ids), list(order))
-        .select("block", *order, piece.alias("piece"))
+        documents.select(*order, stream.alias("__ids"))
+        .join(starts.select(*order, "start", "grand_total"), list(order))
+        .select(*order, "grand_total", F.inline(F.transform(F.sequence(first, last), cut)))
+        .where(F.col("block") < full)
         .groupBy("block")
         .agg(F.array_sort(F.collect_list(F.struct(*order, "piece"))).alias("pieces"))
         .select("block", F.flatten(F.transform("pieces", lambda p: p["piece"])).alias("input_ids"))

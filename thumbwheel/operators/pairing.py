@@ -48,29 +48,36 @@ def round_robin(models: Sequence[str]) -> list[tuple[str, str]]:
 
 
 def tournament(completions: DataFrame, matches: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row per ordinal and listed match for which both models answered.
+    """One row per ordinal, listed match and pair of answers of both models.
 
-    One aggregation puts an ordinal's answers side by side as columns; the
+    One aggregation puts an ordinal's answers side by side as lists; the
     matches are then read off that row. The completions are read and shuffled
-    once for any number of matches, and nothing is joined to itself.
+    once for any number of matches, and nothing is joined to itself. A model
+    with several answers plays with each, and a NULL answer is an answer.
     """
     models = sorted({m for match in matches for m in match})
     slot = {m: f"__m{i}" for i, m in enumerate(models)}
-    answer = lambda m: F.max(F.when(F.col("model") == m, F.col("text"))).alias(slot[m])
+    answers = lambda m: F.collect_list(F.when(F.col("model") == m, F.struct("text"))).alias(slot[m])
     wide = (
         completions.where(F.col("model").isin(models))
         .groupBy("ordinal")
-        .agg(*(answer(m) for m in models))
+        .agg(*(answers(m) for m in models))
     )
     rows = [
         F.struct(
             F.lit(a).alias("model_a"),
             F.lit(b).alias("model_b"),
-            F.col(slot[a]).alias("answer_a"),
-            F.col(slot[b]).alias("answer_b"),
+            F.col(slot[a]).alias("__a"),
+            F.col(slot[b]).alias("__b"),
         )
         for a, b in matches
     ]
-    return wide.select("ordinal", F.inline(F.array(*rows))).where(
-        F.col("answer_a").isNotNull() & F.col("answer_b").isNotNull()
+    played = wide.select("ordinal", F.inline(F.array(*rows)))
+    return (
+        played.select("ordinal", "model_a", "model_b", "__b", F.explode("__a").alias("__a"))
+        .select("ordinal", "model_a", "model_b", "__a", F.explode("__b").alias("__b"))
+        .select(
+            "ordinal", "model_a", "model_b",
+            F.col("__a.text").alias("answer_a"), F.col("__b.text").alias("answer_b"),
+        )
     )

@@ -58,6 +58,11 @@ def keep_assistant(df: DataFrame, column: str = "completion") -> DataFrame:
     return df.withColumn(column, F.filter(column, lambda m: m["role"] == "assistant"))
 
 
+def assistant_turns(df: DataFrame, role: str = "role") -> DataFrame:
+    """The assistant's turns of whole conversations, one row each: a filter, no shuffle."""
+    return df.where(F.col(role) == "assistant")
+
+
 def reference_text(messages: Column) -> Column:
     """The stripped text of the second message; NULL when there is none."""
     return strip(F.get(messages, F.lit(1))["content"])
@@ -76,16 +81,18 @@ def assemble_messages(
     turn: str,
     role: str,
     text: str,
-    segment_turns: int = 4096,
+    turns_per_row: int,
 ) -> DataFrame:
-    """Turn rows as ordered message arrays.
+    """Windows of every conversation as ordered message arrays.
 
-    A conversation longer than ``segment_turns`` continues on further rows
-    (``segment`` 1, 2, ...), so no row and no task holds more than that many turns.
+    Each row holds the turns of one ``segment``: turns 0 to ``turns_per_row`` - 1,
+    the next as many, and so on, for short and long conversations alike. The
+    segments of a conversation joined in order are the conversation. Whole
+    conversations of any length are the turn rows themselves (``assistant_turns``).
     """
     ordered = F.array_sort(F.collect_list(F.struct(turn, role, text)))
     return (
-        df.withColumn("segment", F.floor(F.col(turn) / F.lit(segment_turns)).cast("long"))
+        df.withColumn("segment", F.floor(F.col(turn) / F.lit(turns_per_row)).cast("long"))
         .groupBy(conversation, "segment")
         .agg(ordered.alias("messages"))
         .withColumn(

@@ -36,7 +36,7 @@ def sized_rollouts(df: DataFrame, cfg: RolloutConfig = RolloutConfig()) -> DataF
 def masked_rollouts(df: DataFrame, cfg: RolloutConfig = RolloutConfig()) -> DataFrame:
     """Sized rollouts with the masked positions of all log-probabilities filled."""
     sized = sized_rollouts(df, cfg)
-    for name in ("logp", "ref_logp", "new_logp"):
+    for name in ("logp", "ref_logp"):
         sized = sized.withColumn(name, K.mask_after(F.col(name), F.col("sequence_length")))
     return sized
 
@@ -117,20 +117,31 @@ def rloo_advantage_any_k(df: DataFrame) -> DataFrame:
     ).drop("__total", "__n")
 
 
-def policy_sums(df: DataFrame) -> DataFrame:
-    """Per-rollout sums over tokens, as if masked positions held their fill.
+def response_sums(df: DataFrame) -> DataFrame:
+    """Log-probability sum and token count of sized rollouts, as if masked positions held their fill."""
+    fill = F.lit(K.INVALID_LOGPROB) * _n_masked("logp")
+    return df.withColumn("logp_sum", K.array_sum(_valid("logp")) + fill).withColumn(
+        "n_tokens", F.size("logp").cast("long")
+    )
+
+
+def policy_sums(policy_log: DataFrame, sized: DataFrame) -> DataFrame:
+    """Sums over tokens of every policy row (rollout and epoch); no array in the result.
 
-    Taken before any shuffle, so that token arrays need not travel.
+    ``policy_log`` has ``rollout_id``, ``new_logp``, ``token_entropy`` and its slot;
+    the old log-probabilities come from the rollout itself, sent once.
     """
+    own = response_sums(sized).select("rollout_id", "logp", "sequence_length", "logp_sum", "n_tokens")
     fill = F.lit(K.INVALID_LOGPROB) * _n_masked("logp")
     return (
-        df.withColumn("logp_sum", K.array_sum(_valid("logp")) + fill)
+        policy_log.join(own, "rollout_id")
         .withColumn("new_logp_sum", K.array_sum(_valid("new_logp")) + fill)
         .withColumn(
             "token_ratio_sum",
             R.token_ratio_sum(_valid("new_logp"), _valid("logp")) + _n_masked("logp"),
         )
-        .withColumn("n_tokens", F.size("logp").cast("long"))
+        .withColumn("entropy_sum", K.array_sum(F.col("token_entropy")))
+        .drop("logp", "new_logp", "token_entropy", "sequence_length")
     )
 
 

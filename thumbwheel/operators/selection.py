@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 
 
 def head_examples(
-    df: DataFrame, n: int | None, ordinal: str = "ordinal", strict: bool = False
+    df: DataFrame,
+    n: int | None,
+    ordinal: str = "ordinal",
+    strict: bool = False,
+    dense: bool = False,
 ) -> DataFrame:
     """The first ``n`` examples in source order; ``None`` keeps all.
 
-    A range predicate on the key, so it reaches the file scan. ``strict``
-    raises when fewer than ``n`` exist.
+    Every task keeps its first ``n`` rows and only those meet. A caller who
+    knows that the keys are 0, 1, 2, ... may say ``dense``: then a range predicate
+    on the key reaches the file scan. ``strict`` raises when fewer than ``n`` exist.
     """
     if n is None:
         return df
-    head = df.where(F.col(ordinal) < n)
+    head = df.where(F.col(ordinal) < n) if dense else df.orderBy(ordinal).limit(n)
     if strict and head.select(ordinal).count() < n:
         raise ValueError(f"fewer than {n} examples")
     return head

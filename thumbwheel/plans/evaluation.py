@@ -47,7 +47,7 @@ def judge_matches(
     """Win rates of listed model pairs; ``flip_seed`` swaps answers to offset position bias."""
     asked = attach_prompts(tournament(completions, matches), prompts)
     if flip_seed is not None:
-        asked = flip_order(asked, "ordinal", flip_seed)
+        asked = flip_order(asked, ("ordinal", "model_a", "model_b"), flip_seed)
     judged = batch_judge(asked, judge)
     if flip_seed is not None:
         judged = judged.withColumn("winner", unflip_winner(F.col("winner"), F.col("flipped")))

@@ -21,14 +21,6 @@ PAIRS = T.StructType(
     ]
 )
 
-COMPLETIONS = T.StructType(
-    [
-        T.StructField("ordinal", T.LongType()),
-        T.StructField("model", T.StringType()),
-        T.StructField("text", T.StringType()),
-    ]
-)
-
 ROLLOUTS = T.StructType(
     [
         T.StructField("update_id", T.LongType()),
@@ -38,23 +30,24 @@ ROLLOUTS = T.StructType(
         T.StructField("response", T.ArrayType(T.IntegerType())),
         T.StructField("logp", T.ArrayType(T.DoubleType())),
         T.StructField("ref_logp", T.ArrayType(T.DoubleType())),
-        T.StructField("new_logp", T.ArrayType(T.DoubleType())),
         T.StructField("score", T.ArrayType(T.DoubleType())),
-        T.StructField("ppo_epoch", T.LongType()),
-        T.StructField("minibatch", T.LongType()),
-        T.StructField("microbatch", T.LongType()),
+        T.StructField("elapsed", T.DoubleType()),
+        T.StructField("lr", T.DoubleType()),
     ]
 )
 
-METRICS = T.StructType(
+# One row per rollout, optimisation epoch and slot.
+POLICY_LOG = T.StructType(
     [
-        T.StructField("run", T.StringType()),
-        T.StructField("metric", T.StringType()),
-        T.StructField("value", T.DoubleType()),
+        T.StructField("rollout_id", T.LongType()),
+        T.StructField("ppo_epoch", T.LongType()),
+        T.StructField("minibatch", T.LongType()),
+        T.StructField("microbatch", T.LongType()),
+        T.StructField("new_logp", T.ArrayType(T.DoubleType())),
+        T.StructField("token_entropy", T.ArrayType(T.DoubleType())),
     ]
 )
 
-
 def require_columns(df, *names: str) -> None:
     """Fail early, and name every missing column at once."""
     missing = [n for n in names if n not in df.columns]

@@ -15,7 +15,6 @@ from thumbwheel.operators.selection import head_examples
 
 # Names of the source splits and of ours.
 SPLIT_NAMES = {"train_prefs": "train", "test_prefs": "test"}
-MAX_BROADCAST_FILES = 100_000
 
 
 def load_split(
@@ -50,35 +49,36 @@ def source_adapter(df: DataFrame, layout: str, n: int | None = None) -> DataFram
 
 
 def read_completions(spark: SparkSession, path: str, model: str) -> DataFrame:
-    """A one-column ``Text`` CSV (file or folder) as ``(ordinal, model, text)``.
-
-    A quoted record may span lines, so a file is read by one task; a folder is
-    read in parallel. Ordinals follow file name, then position in the file. An
-    empty completion stays an empty string.
+    """A ``Text`` CSV (file or folder) as ``(ordinal, model, text)``.
+
+    An ``Ordinal`` column, as ``export_completions_csv`` writes it, is taken as
+    it is. Files without one are numbered by the part number in their name
+    (parts count as integers, so part 100000 follows part 99999), then by path,
+    then by position in the file. A quoted record may span lines, so a file is
+    read by one task however large; a folder is read in parallel. Parquet is
+    the hand-off for large tables. An empty completion stays an empty string.
     """
-    rows = (
-        spark.read.schema("Text STRING")
-        .options(header=True, multiLine=True, quote='"', escape='"')
-        .options(emptyValue="", nullValue="\u0000")
-        .csv(path)
-        .select(
-            F.col("_metadata.file_path").alias("__file"),
-            F.monotonically_increasing_id().alias("__row"),
-            F.coalesce("Text", F.lit("")).alias("text"),
-        )
+    options = dict(header=True, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\u0000")
+    header = spark.read.options(**options).csv(path).columns
+    fields = "Text STRING, Ordinal LONG" if "Ordinal" in header else "Text STRING"
+    rows = spark.read.schema(fields).options(**options).csv(path)
+    text = F.coalesce("Text", F.lit("")).alias("text")
+    if "Ordinal" in header:
+        return rows.select(F.col("Ordinal").alias("ordinal"), F.lit(model).alias("model"), text)
+    placed = rows.select(
+        F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__row"), text
     )
-    # Only per-file counts meet in one task; the driver lists the same files anyway.
-    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.regexp_extract("__file", r"part-(\d+)[^/]*$", 1).cast("long")
+    # Per-file counts alone meet in one task; the driver lists the same files anyway.
+    before = Window.orderBy(part.asc_nulls_last(), "__file").rowsBetween(Window.unboundedPreceding, -1)
     files = (
-        rows.groupBy("__file")
+        placed.groupBy("__file")
         .agg(F.min("__row").alias("__first"), F.count("text").alias("__n"))
         .select(
             "__file", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
         )
     )
-    if len(rows.inputFiles()) <= MAX_BROADCAST_FILES:
-        files = F.broadcast(files)
-    return rows.join(files, "__file").select(
+    return placed.join(files, "__file").select(
         (F.col("__before") + F.col("__row") - F.col("__first")).alias("ordinal"),
         F.lit(model).alias("model"),
         "text",
@@ -97,10 +97,14 @@ def read_rollouts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_policy_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.POLICY_LOG).parquet(path)
+
+
 def duplicate_samples(rollouts: DataFrame) -> DataFrame:
     """Samples logged more than once; an empty result means slots are well formed."""
     return (
-        rollouts.groupBy("update_id", "prompt_id", "sample_idx", "ppo_epoch")
+        rollouts.groupBy("update_id", "prompt_id", "sample_idx")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )

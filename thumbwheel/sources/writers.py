@@ -27,10 +27,10 @@ def write_completions(df: DataFrame, path: str) -> None:
 
 
 def export_completions_csv(df: DataFrame, path: str) -> None:
-    """One model's texts as ``Text`` CSV files whose name order is the ordinal order."""
+    """One model's texts as ``Text`` CSV files in ordinal order, the ordinal beside each text."""
     (
         df.orderBy("ordinal")
-        .select(F.col("text").alias("Text"))
+        .select(F.col("text").alias("Text"), F.col("ordinal").alias("Ordinal"))
         .write.options(header=True, quoteAll=True, quote='"', escape='"', emptyValue="")
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)

@@ -92,40 +92,55 @@ def _steps(n: Column, f) -> Column:
     return F.transform(F.sequence(F.lit(0).cast("long"), n - 1), f)
 
 
-def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rollout per (order, line number); the order is the prompt, the line the sample."""
-    lines = (
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(F.sum("l_partkey").alias("a"), F.sum("l_suppkey").alias("b"))
         .withColumn("n", F.col("a") % 5 + 4)
+        .withColumn("rollout_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     )
+
+
+def _dyadic(n: Column, start: Column, step: Column | int, mod: int, parts: int) -> Column:
+    return _steps(n, lambda i: ((start + i * step) % mod + 1).cast("double") / parts)
+
+
+def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollout per (order, line number); the order is the prompt, the line the sample."""
     a, b, n = F.col("a"), F.col("b"), F.col("n")
-    logp = lambda step, mod: _steps(
-        n, lambda i: (-((b + i * step) % mod + 1)).cast("double") / 16
-    )
+    negative = lambda values: F.transform(values, lambda x: -x)
     update = F.col("l_orderkey") % 16 + 1
-    return lines.select(
+    return _lines(spark, sf_dir).select(
         update.alias("update_id"),
         F.col("l_orderkey").alias("prompt_id"),
         (F.col("l_linenumber") - 1).cast("long").alias("sample_idx"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("rollout_id"),
+        "rollout_id",
         _steps(n, lambda i: (F.lit(1) + (a + i * 7) % 11).cast("int")).alias("response"),
-        logp(3, 17).alias("logp"),
-        logp(5, 13).alias("ref_logp"),
-        logp(11, 19).alias("new_logp"),
-        _steps(n, lambda i: ((b + i * 13) % 10 + 1).cast("double") / 8).alias("token_entropy"),
+        negative(_dyadic(n, b, 3, 17, 16)).alias("logp"),
+        negative(_dyadic(n, b, 5, 13, 16)).alias("ref_logp"),
         F.array(
             ((a % 9) - 4).cast("double") / 4, ((b % 7) - 3).cast("double") / 4
         ).alias("score"),
-        F.lit(0).cast("long").alias("ppo_epoch"),
-        F.floor(F.col("l_orderkey") / 16).cast("long").__mod__(4).alias("minibatch"),
-        ((F.col("l_linenumber") - 1) % 2).cast("long").alias("microbatch"),
         (update * 30.0).alias("elapsed"),
         (F.lit(1.0) / (update * 4)).alias("lr"),
     )
 
 
+def policy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two optimisation epochs over every rollout, in other slots and with other values each time."""
+    b, n, epoch = F.col("b"), F.col("n"), F.col("ppo_epoch")
+    rows = _lines(spark, sf_dir).withColumn("ppo_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1).cast("long"))))
+    return rows.select(
+        "rollout_id",
+        "ppo_epoch",
+        ((F.floor(F.col("l_orderkey") / 16).cast("long") + epoch) % 4).alias("minibatch"),
+        ((F.col("l_linenumber") - 1 + epoch) % 2).cast("long").alias("microbatch"),
+        F.transform(_dyadic(n, b + epoch, epoch * 2 + 11, 19, 16), lambda x: -x).alias("new_logp"),
+        _dyadic(n, b + epoch * 3, 13, 10, 8).alias("token_entropy"),
+    )
+
+
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as logits: four positions over a vocabulary of sixteen."""
     return (
@@ -141,6 +156,15 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def strided_logits(n: int) -> Column:
+    """All embedding values as ``n`` logits: value i counts towards logit i mod n."""
+    values = F.col("embedding").cast("array<double>")
+    total = lambda j: F.aggregate(
+        F.filter(values, lambda _, i: i % n == j), F.lit(0.0), lambda acc, x: acc + x
+    )
+    return F.array(*(total(j) for j in range(n)))
+
+
 def feedback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases as thumbs-up, errors as thumbs-down, other events neither."""
     return table(spark, sf_dir, "events").select(

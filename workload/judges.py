@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 
 from thumbwheel.functions.text import A_END, A_START, B_END, B_START
@@ -12,26 +13,30 @@ def echo_generator():
     return lambda prompts: "\n Echo: " + prompts + " \t"
 
 
+def _between(texts: pd.Series, start: str, end: str) -> pd.Series:
+    after = texts.str.partition(f"{start}\n")[2]
+    return after.str.rpartition(f"\n{end}")[0]
+
+
 def length_judge():
     """Prefers the longer answer; refuses when both lengths add up to a multiple of 11."""
 
-    def verdict(prompt: str) -> str:
-        a = prompt.split(f"{A_START}\n", 1)[1].split(f"\n{A_END}", 1)[0]
-        b = prompt.split(f"{B_START}\n", 1)[1].rsplit(f"\n{B_END}", 1)[0]
-        if (len(a) + len(b)) % 11 == 0:
-            return "cannot say"
-        mark = "A" if len(a) > len(b) else "B" if len(b) > len(a) else "C"
-        return f"Compared lengths. The answer is [[{mark}]] indeed"
+    def verdicts(prompts: pd.Series) -> pd.Series:
+        shown = prompts.astype(object)
+        a = _between(shown.str.partition(f"\n\n{B_START}\n")[0], A_START, A_END).str.len()
+        b = _between(shown, B_START, B_END).str.len()
+        mark = np.select([a > b, b > a], ["A", "B"], "C")
+        said = "Compared lengths. The answer is [[" + pd.Series(mark, index=prompts.index) + "]] indeed"
+        return said.where((a + b) % 11 != 0, "cannot say")
 
-    return lambda prompts: prompts.map(verdict)
+    return verdicts
 
 
 def length_scorer():
     """Two logits from the text lengths."""
 
     def call(query: pd.Series, response: pd.Series) -> pd.Series:
-        return pd.Series(
-            [[len(q) % 9 / 4, len(r) % 7 / 4] for q, r in zip(query, response)]
-        )
+        logits = np.stack([query.str.len() % 9 / 4, response.str.len() % 7 / 4], axis=1)
+        return pd.Series(list(logits), index=query.index)
 
     return call

@@ -55,25 +55,27 @@ lines as (select l_orderkey, l_linenumber, cast(sum(l_partkey) as bigint) a, cas
 ro as (select l_orderkey % 16 + 1 update_id, l_orderkey prompt_id, cast(l_linenumber - 1 as bigint) sample_idx,
               l_orderkey * 8 + l_linenumber rollout_id, a, b, 4 + a % 5 n_tokens,
               cast((a % 9) - 4 as double) / 4 logit0, cast((b % 7) - 3 as double) / 4 logit1,
-              (l_orderkey // 16) % 4 minibatch, (l_linenumber - 1) % 2 microbatch from lines),
+              l_orderkey, l_linenumber from lines),
 tk as (select rollout_id, i, 1 + (a + 7 * i) % 11 token,
               -cast((b + 3 * i) % 17 + 1 as double) / 16 logp,
-              -cast((b + 5 * i) % 13 + 1 as double) / 16 ref_logp,
-              -cast((b + 11 * i) % 19 + 1 as double) / 16 new_logp,
-              cast((b + 13 * i) % 10 + 1 as double) / 8 token_entropy
+              -cast((b + 5 * i) % 13 + 1 as double) / 16 ref_logp, b
        from (select *, unnest(range(n_tokens)) i from ro)),
 st as (select rollout_id, min(i) filter (token = 1) stop_at from tk group by 1),
 tt as (select tk.*, case when i > stop_at then 0 else token end truncated, stop_at from tk join st using (rollout_id)),
 sl as (select rollout_id, cast(coalesce(min(i) filter (truncated = 0) - 1, max(i)) as integer) sequence_length,
               bool_or(truncated = 1) has_eos from tt group by 1),
-tm as (select tt.rollout_id, i, token, truncated, token_entropy, i > sequence_length masked,
+tm as (select tt.rollout_id, i, b, token, truncated, i > sequence_length masked,
               case when i > sequence_length then 1.0::double else logp end logp,
-              case when i > sequence_length then 1.0::double else ref_logp end ref_logp,
-              case when i > sequence_length then 1.0::double else new_logp end new_logp
+              case when i > sequence_length then 1.0::double else ref_logp end ref_logp
        from tt join sl using (rollout_id)),
-ag as (select rollout_id, sum(logp) logp_sum, sum(ref_logp) ref_logp_sum, sum(new_logp) new_logp_sum,
-              sum(logp - ref_logp) kl, cast(count(*) filter (masked) as integer) n_masked, sum(exp(new_logp - logp)) token_ratio_sum,
-              sum(token_entropy) entropy_sum, count(*) filter (token = 1) num_eos from tm group by 1),
+ag as (select rollout_id, sum(logp) logp_sum, sum(ref_logp) ref_logp_sum,
+              sum(logp - ref_logp) kl, cast(count(*) filter (masked) as integer) n_masked,
+              count(*) filter (token = 1) num_eos from tm group by 1),
+ep as (select *, case when masked then 1.0::double
+                      else -cast((b + ppo_epoch + (11 + 2 * ppo_epoch) * i) % 19 + 1 as double) / 16 end new_logp
+       from tm, (select unnest([0, 1]) ppo_epoch)),
+eg as (select rollout_id, ppo_epoch, sum(new_logp) new_logp_sum, sum(exp(new_logp - logp)) token_ratio_sum,
+              sum(cast((b + 3 * ppo_epoch + 13 * i) % 10 + 1 as double) / 8) entropy_sum from ep group by 1, 2),
 rw as (select ro.*, ag.* exclude (rollout_id), sl.sequence_length, sl.has_eos,
               -0.0625::double * kl non_score_reward,
               case when logit1 > logit0 then 1.0::double else 0.0::double end reward_score,
@@ -84,8 +86,9 @@ adv as (select *, rlhf_reward - (sum(rlhf_reward) over g - rlhf_reward) / nullif
 pol as (select *, exp(new_logp_sum - logp_sum) ratio,
                -advantage * exp(new_logp_sum - logp_sum) loss1,
                -advantage * least(greatest(exp(new_logp_sum - logp_sum), 0.8::double), 1.2::double) loss2,
-               power(new_logp_sum - logp_sum, 2) sq from adv),
-slots as (select update_id, minibatch, microbatch, avg(case when loss1 > loss2 then loss1 else loss2 end) policy_loss,
+               power(new_logp_sum - logp_sum, 2) sq, (l_orderkey // 16 + ppo_epoch) % 4 minibatch,
+               (l_linenumber - 1 + ppo_epoch) % 2 microbatch from adv join eg using (rollout_id)),
+slots as (select update_id, ppo_epoch, minibatch, microbatch, avg(case when loss1 > loss2 then loss1 else loss2 end) policy_loss,
                  avg(case when loss2 > loss1 then 1.0::double when loss2 <= loss1 then 0.0::double end) clipfrac,
                  0.5 * avg(sq) approxkl, sum(entropy_sum) / sum(n_tokens) entropy,
                  sum(token_ratio_sum) / sum(n_tokens) ratio from pol group by all)
@@ -164,7 +167,7 @@ def build() -> dict[str, str]:
     sql["source_adapter"] = _with(PAIRS) + f"""
         select example_id ordinal, prompt, trim(chosen, {_STRIP}) reference, 'chosen_messages' layout from pairs
         union all select doc_id, source, text, 'plain' from documents"""
-    sql["assemble_messages"] = """select conv_id, turn // 4096 segment, count(*) n_messages,
+    sql["assemble_messages"] = """select conv_id, turn // 8 segment, count(*) n_messages,
         string_agg(role || '=' || text, '|' order by turn) rendered from conversations group by 1, 2"""
     sql["read_completions"] = f"select doc_id ordinal, '{_BASE}' model, text from documents"
     sql["write_unpaired"] = _with(PAIRS) + f"""
@@ -190,9 +193,11 @@ def build() -> dict[str, str]:
     sql["prompt_to_chat"] = _with(PAIRS) + "select example_id, 'user=' || prompt prompt from pairs"
     sql["pairs_to_unpaired"] = _with(PAIRS) + f"""
         select example_id, branch, split, prompt, {_dialogue('reply')} completion, label from unpaired"""
-    sql["keep_assistant"] = """select conv_id, turn // 4096 segment, count(*) filter (role = 'assistant') n_messages,
+    sql["keep_assistant"] = """select conv_id, turn // 8 segment, count(*) filter (role = 'assistant') n_messages,
         coalesce(string_agg(role || '=' || text, '|' order by turn) filter (role = 'assistant'), '') rendered
         from conversations group by 1, 2"""
+    sql["assistant_turns"] = """select conv_id, turn, role || '=' || text rendered
+        from conversations where role = 'assistant'"""
     sql["build_kto_dataset"] = _with(PAIRS) + """
         select example_id, branch, split, 'user=' || prompt prompt, 'assistant=' || reply completion,
                1::bigint n_messages, label = 1 as label from unpaired"""
@@ -212,7 +217,7 @@ def build() -> dict[str, str]:
         select ordinal, prompt, 0 sample_idx from prompts union all select ordinal, prompt, 1 from prompts"""
 
     # filters
-    sql["head_examples"] = _with(COMPLETIONS) + "select * from prompts order by ordinal limit 1000"
+    sql["head_examples"] = _with(COMPLETIONS) + "select * from prompts order by ordinal limit 150"
     sql["eval_sample"] = _with(COMPLETIONS) + "select * from prompts order by ordinal limit 100"
     sql["max_length_filter"] = _with(WORDS) + "select doc_id, n n_tokens from nt where n <= 2048"
     sql["drop_error_verdicts"] = _with(VERDICTS) + """
@@ -267,7 +272,7 @@ def build() -> dict[str, str]:
         select rollout_id, string_agg(truncated::varchar, ',' order by i) truncated from tt group by 1"""
     sql["sequence_length"] = _with(ROLLOUTS) + "select rollout_id, sequence_length from sl"
     sql["padding_mask"] = _with(ROLLOUTS) + """
-        select rollout_id, n_masked, logp_sum, ref_logp_sum, new_logp_sum from ag"""
+        select rollout_id, n_masked, logp_sum, ref_logp_sum from ag"""
     sql["contains_eos"] = _with(ROLLOUTS) + "select rollout_id, has_eos from sl"
     sql["num_eos"] = _with(ROLLOUTS) + """
         select update_id, cast(sum(num_eos) as bigint) num_eos_tokens from rw group by 1"""
@@ -290,8 +295,13 @@ def build() -> dict[str, str]:
         from comp a join comp b on a.ordinal = b.ordinal and a.model < b.model"""
 
     # aggregations
-    sql["accuracy"] = """select round(avg(case when list_position(embedding[1:10], list_max(embedding[1:10])) - 1
-        = label then 1.0 else 0.0 end), 6)::double accuracy, count(*) n from embeddings"""
+    strided = """
+        v as (select vec_id, label, unnest(embedding)::double x, generate_subscripts(embedding, 1) - 1 i from embeddings),
+        l as (select vec_id, label, i % {n} j, sum(x order by i) s from v group by 1, 2, 3)"""
+    sql["accuracy"] = "with" + strided.format(n=10) + """,
+        b as (select vec_id, label, max(s) m from l group by 1, 2),
+        p as (select vec_id, b.label, min(j) guess from l join b using (vec_id) where s = m group by 1, 2)
+        select round(avg(case when guess = label then 1.0 else 0.0 end), 6)::double accuracy, count(*) n from p"""
     sql["win_rate_vs_reference"] = _with(VERDICTS) + """
         select model_a model, count(winner) decided, cast(sum(winner) as bigint) wins,
                round(avg(winner), 6) win_rate, round(100 * avg(winner), 6) win_rate_percent
@@ -310,8 +320,8 @@ def build() -> dict[str, str]:
         , m as (select split, score_chosen - score_rejected d from pairs)
         select split, count(*) n, round(avg(case when d > 0 then 1.0 else 0.0 end), 6)::double accuracy,
                round(avg(d), 6) mean_margin, round(avg(-ln(1 / (1 + exp(-d)))), 6) loss from m group by 1"""
-    sql["pointwise_reward_eval"] = """with e as (select embedding[1]::double x0, embedding[2]::double x1,
-            label % 2 y from embeddings),
+    sql["pointwise_reward_eval"] = "with" + strided.format(n=2) + """,
+        e as (select vec_id, label % 2 y, sum(s) filter (j = 0) x0, sum(s) filter (j = 1) x1 from l group by 1, 2),
         c as (select *, case when x1 > x0 then 1 else 0 end pred,
               ln(exp(x0) + exp(x1)) - case y when 1 then x1 else x0 end ce from e)
         select count(*) n, round(avg(ce), 6) cross_entropy,
@@ -351,14 +361,15 @@ def build() -> dict[str, str]:
         select update_id, prompt_id, rollout_id, rlhf_reward,
                rlhf_reward - (sum(rlhf_reward) over g - rlhf_reward) / nullif(count(*) over g - 1, 0) advantage
         from pr window g as (partition by update_id, prompt_id, sample_idx // 2)"""
-    sql["importance_ratio"] = ro + """select rollout_id, round(exp(new_logp_sum - logp_sum), 6) ratio,
-        round(token_ratio_sum / n_tokens, 6) token_ratio_mean from rw"""
+    sql["importance_ratio"] = ro + """select rollout_id, ppo_epoch::bigint ppo_epoch,
+        round(exp(new_logp_sum - logp_sum), 6) ratio,
+        round(token_ratio_sum / n_tokens, 6) token_ratio_mean from rw join eg using (rollout_id)"""
     sql["ppo_clip_loss"] = ro + """select update_id,
         round(avg(case when loss1 > loss2 then loss1 else loss2 end), 6) policy_loss from pol group by 1"""
     sql["clip_fraction"] = ro + """select update_id, round(avg(case when loss2 > loss1 then 1.0::double
         when loss2 <= loss1 then 0.0::double end), 6) clipfrac from pol group by 1"""
     sql["approx_kl"] = ro + """select update_id, round(0.5 * avg(power(new_logp_sum - logp_sum, 2)), 6) approx_kl
-        from rw group by 1"""
+        from rw join eg using (rollout_id) group by 1"""
     over_slots = """round(avg(approxkl), 6) "policy/approxkl_avg", round(avg(clipfrac), 6) "policy/clipfrac_avg",
         round(avg(policy_loss), 6) "loss/policy_avg", round(avg(entropy), 6) "policy/entropy_avg",
         round(avg(ratio), 6) "val/ratio", round(var_samp(ratio), 6) "val/ratio_var" """
@@ -399,7 +410,7 @@ def build() -> dict[str, str]:
     longer = """case when length(answer_a) > length(answer_b) then 0
         when length(answer_b) > length(answer_a) then 1 end"""
     sql["flip_order"] = _with(COMPLETIONS) + f"""
-        , f as (select *, md5('3:' || ordinal)[1] < '8' flipped, {longer} winner from asked)
+        , f as (select *, md5('3:' || ordinal || ':{_BASE}:{_SFT}')[1] < '8' flipped, {longer} winner from asked)
         select ordinal, flipped, case when flipped then answer_b else answer_a end answer_a,
                case when flipped then answer_a else answer_b end answer_b,
                case when flipped then 1 - winner else winner end shown_winner, winner from f"""
@@ -415,7 +426,7 @@ def build() -> dict[str, str]:
         from prompts"""
     sql["judge_against_reference"] = _with(COMPLETIONS) + f"""
         , j as (select model, {JUDGED_WINNER} winner from (select c.model, d.text answer_a, c.text answer_b
-                from comp c join documents d on c.ordinal = d.doc_id where c.model <> '{_SFT}'))
+                from comp c join documents d on c.ordinal = d.doc_id))
         select model, count(winner) decided, coalesce(cast(sum(winner) as bigint), 0) wins,
                round(avg(winner), 6) win_rate, round(100 * avg(winner), 6) win_rate_percent from j group by 1"""
     sql["judge_matches"] = _with(COMPLETIONS) + f"""

@@ -80,7 +80,7 @@ def source_adapter(spark, d):
 @query
 def assemble_messages(spark, d):
     conv = I.table(spark, d, "conversations")
-    out = reshape.assemble_messages(conv, "conv_id", "turn", "role", "text")
+    out = reshape.assemble_messages(conv, "conv_id", "turn", "role", "text", turns_per_row=8)
     return out.select(
         "conv_id",
         "segment",
@@ -183,8 +183,8 @@ def pairs_to_unpaired(spark, d):
 @query
 def keep_assistant(spark, d):
     conv = I.table(spark, d, "conversations")
-    whole = reshape.assemble_messages(conv, "conv_id", "turn", "role", "text")
-    out = reshape.keep_assistant(whole, "messages")
+    windows = reshape.assemble_messages(conv, "conv_id", "turn", "role", "text", turns_per_row=8)
+    out = reshape.keep_assistant(windows, "messages")
     return out.select(
         "conv_id",
         "segment",
@@ -193,6 +193,12 @@ def keep_assistant(spark, d):
     )
 
 
+@query
+def assistant_turns(spark, d):
+    turns = reshape.assistant_turns(I.table(spark, d, "conversations"))
+    return turns.select("conv_id", "turn", F.concat("role", F.lit("="), "text").alias("rendered"))
+
+
 @query
 def build_kto_dataset(spark, d):
     return _unpaired_scalars(datasets.build_kto_dataset(I.pairs(spark, d)))
@@ -238,7 +244,7 @@ def repeat_prompts(spark, d):
 
 @query
 def head_examples(spark, d):
-    return selection.head_examples(I.prompts(spark, d), 1000)
+    return selection.head_examples(I.prompts(spark, d), 150)
 
 
 @query
@@ -269,7 +275,7 @@ def shuffle_batches(spark, d):
 def shuffle_within_updates(spark, d):
     rollouts = I.rollouts(spark, d).select("update_id", "rollout_id")
     return ordering.shuffle_batches(
-        rollouts, "rollout_id", seed=7, batch=64, micro_batch=8, within=["update_id"]
+        rollouts, "rollout_id", seed=7, batch=64, micro_batch=8, within=["update_id"], buckets=1
     )
 
 
@@ -314,10 +320,13 @@ def pack_sequences(spark, d):
 
 @query
 def packed_block_tokens(spark, d):
+    path = scratch_path(spark, "token-ids")
     docs = I.table(spark, d, "documents")
-    spans = ordering.pack_sequences(spark, docs, ["doc_id"], K.token_count(F.col("text")), 2048)
-    ids = docs.select("doc_id", K.token_ids(F.col("text")).alias("ids"))
-    blocks = ordering.block_tokens(spans, ids, ["doc_id"], "ids")
+    docs.select("doc_id", K.token_ids(F.col("text")).alias("ids")).write.parquet(path)
+    ids = spark.read.parquet(path)
+    sizes = ids.select("doc_id", (F.size("ids") + 1).cast("long").alias("n_stream"))
+    starts = ordering.running_offsets(spark, sizes, ["doc_id"], "n_stream")
+    blocks = ordering.block_tokens(starts, ids, ["doc_id"], "ids")
     return blocks.select(
         "block",
         F.size("input_ids").cast("long").alias("n_tokens"),
@@ -390,7 +399,6 @@ def padding_mask(spark, d):
         F.greatest(F.size("logp") - F.col("sequence_length") - 1, F.lit(0)).alias("n_masked"),
         K.array_sum(F.col("logp")).alias("logp_sum"),
         K.array_sum(F.col("ref_logp")).alias("ref_logp_sum"),
-        K.array_sum(F.col("new_logp")).alias("new_logp_sum"),
     )
 
 
@@ -464,9 +472,9 @@ def all_pairs_tournament(spark, d):
 
 @query
 def accuracy(spark, d):
+    """Logits of ten classes: the sums of every tenth of the 64 values."""
     rows = I.table(spark, d, "embeddings")
-    out = metrics.accuracy(rows, F.slice("embedding", 1, 10), F.col("label"))
-    return rounded(out)
+    return rounded(metrics.accuracy(rows, I.strided_logits(10), F.col("label")))
 
 
 def _judged(spark, d) -> DataFrame:
@@ -510,7 +518,7 @@ def pairwise_reward_eval(spark, d):
 @query
 def pointwise_reward_eval(spark, d):
     rows = I.table(spark, d, "embeddings").select(
-        F.slice("embedding", 1, 2).cast("array<double>").alias("logits"),
+        I.strided_logits(2).alias("logits"),
         (F.col("label") % 2).alias("label"),
     )
     return rounded(metrics.pointwise_reward_eval(rows, F.col("logits"), F.col("label")))
@@ -518,7 +526,7 @@ def pointwise_reward_eval(spark, d):
 
 @query
 def kto_objective(spark, d):
-    rewards = RO.policy_sums(_rewards(spark, d))
+    rewards = RO.response_sums(_rewards(spark, d))
     rows = rewards.select(
         "update_id",
         "rollout_id",
@@ -598,15 +606,21 @@ def rloo_advantage_paired(spark, d):
 
 
 def _policy(spark, d) -> DataFrame:
-    return training_log.policy_rollouts(I.rollouts(spark, d), CFG)
+    return training_log.policy_rollouts(I.rollouts(spark, d), I.policy_log(spark, d), CFG)
+
+
+def _policy_sums(spark, d) -> DataFrame:
+    return RO.policy_sums(I.policy_log(spark, d), RO.sized_rollouts(I.rollouts(spark, d), CFG))
 
 
 @query
 def importance_ratio(spark, d):
-    sums = RO.policy_sums(RO.sized_rollouts(I.rollouts(spark, d), CFG))
+    sums = _policy_sums(spark, d)
     mean = F.try_divide(F.col("token_ratio_sum"), F.col("n_tokens"))
     ratio = R.sequence_ratio(F.col("new_logp_sum"), F.col("logp_sum"))
-    return sums.select("rollout_id", r6(ratio).alias("ratio"), r6(mean).alias("token_ratio_mean"))
+    return sums.select(
+        "rollout_id", "ppo_epoch", r6(ratio).alias("ratio"), r6(mean).alias("token_ratio_mean")
+    )
 
 
 @query
@@ -623,22 +637,22 @@ def clip_fraction(spark, d):
 
 @query
 def approx_kl(spark, d):
-    sums = RO.policy_sums(RO.sized_rollouts(I.rollouts(spark, d), CFG))
+    sums = _policy_sums(spark, d)
     squared = F.pow(F.col("new_logp_sum") - F.col("logp_sum"), F.lit(2))
-    out = sums.groupBy("update_id").agg((F.avg(squared) * 0.5).alias("approx_kl"))
+    updates = I.rollouts(spark, d).select("rollout_id", "update_id")
+    out = sums.join(updates, "rollout_id").groupBy("update_id").agg((F.avg(squared) * 0.5).alias("approx_kl"))
     return rounded(out)
 
 
 @query
 def slot_stats(spark, d):
-    return rounded(training_log.training_slot_stats(I.rollouts(spark, d), CFG))
+    return rounded(training_log.training_slot_stats(I.rollouts(spark, d), I.policy_log(spark, d), CFG))
 
 
 @query
 def update_metrics(spark, d):
     out = training_log.training_metrics(
-        I.rollouts(spark, d), CFG, batch_size=512, n_train=1000,
-        elapsed=F.col("elapsed"), lr=F.col("lr"),
+        I.rollouts(spark, d), I.policy_log(spark, d), CFG, batch_size=512, n_train=1000
     )
     return rounded(out)
 
@@ -699,7 +713,8 @@ def verdict_to_winner(spark, d):
 
 @query
 def flip_order(spark, d):
-    flipped = judging.flip_order(_asked(spark, d), "ordinal", seed=3)
+    asked = _asked(spark, d).withColumns({"model_a": F.lit(I.MODELS[0]), "model_b": F.lit(I.MODELS[1])})
+    flipped = judging.flip_order(asked, ("ordinal", "model_a", "model_b"), seed=3)
     by_length = F.when(F.length("answer_a") > F.length("answer_b"), 0).when(
         F.length("answer_b") > F.length("answer_a"), 1
     )
@@ -755,8 +770,8 @@ def judge_against_reference(spark, d):
         ),
         "plain",
     )
-    others = I.completions(spark, d).where(F.col("model") != I.MODELS[1])
-    return rounded(evaluation.judge_against_reference(examples, others, judges.length_judge))
+    every = I.completions(spark, d)
+    return rounded(evaluation.judge_against_reference(examples, every, judges.length_judge))
 
 
 @query
