@@ -77,6 +77,25 @@ def op3_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(spark, table(spark, d, "documents"))
 
 
+ORACLE["op3_near_duplicates"] = r"""
+    with recursive worded as (select doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'), lambda w: w <> '') w from documents),
+    sets as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) g from worded),
+    shingles as (select doc_id, len(g) n, unnest(g) s from sets),
+    pairs as (select a.doc_id a, b.doc_id b from shingles a join shingles b using (s)
+              where a.doc_id < b.doc_id and least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 85
+              group by 1, 2, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+    links as (select a, b from pairs union all select b, a from pairs),
+    reach as (select doc_id, doc_id r from documents
+              union select l.b, r from reach join links l on l.a = reach.doc_id),
+    roots as (select doc_id, min(r) component_id from reach group by 1)
+    select doc_id, len(g)::bigint n_shingles, component_id, doc_id = component_id kept
+    from sets join roots using (doc_id)
+"""
+
+
 # Share of tokens wanted of each domain; the labelled documents' languages are the domains.
 MIX_TARGETS = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}
 
