@@ -53,6 +53,19 @@ def test_tournament_plays_listed_matches_only(completions):
     assert all(len(r.answer_a) == r.ordinal + 2 for r in out)
 
 
+def test_tournament_keeps_every_answer(spark):
+    rows = [(0, "a", "x"), (0, "a", "y"), (0, "b", None), (1, "a", "z"), (2, "b", "w")]
+    out = pairing.tournament(spark.createDataFrame(rows, "ordinal long, model string, text string"), [("a", "b")])
+    assert sorted((r.ordinal, r.answer_a, r.answer_b) for r in out.collect()) == [(0, "x", None), (0, "y", None)]
+
+
+def test_matches_of_a_prompt_have_coins_of_their_own(spark):
+    rows = [(i, a, b, "x", "y") for i in range(40) for a, b in (("a", "b"), ("a", "c"))]
+    df = spark.createDataFrame(rows, "ordinal long, model_a string, model_b string, answer_a string, answer_b string")
+    flips = {(r.ordinal, r.model_b): r.flipped for r in judging.flip_order(df, ("ordinal", "model_a", "model_b"), 3).collect()}
+    assert any(flips[i, "b"] != flips[i, "c"] for i in range(40))
+
+
 def test_flip_is_undone(spark, completions, prompts):
     plain = evaluation.judge_matches(prompts, completions, [("a", "b")], judges.length_judge)
     flipped = evaluation.judge_matches(prompts, completions, [("a", "b")], judges.length_judge, flip_seed=5)

@@ -53,9 +53,11 @@ def test_packing_equals_brute_force(spark, lengths):
 
 def test_block_tokens_fill_every_block(spark):
     docs = spark.createDataFrame([(d, [d] * (d % 9)) for d in range(50)], "doc long, ids array<int>")
-    spans = ordering.pack_sequences(spark, docs, ["doc"], F.size("ids"), block=16)
-    out = {r.block: r.input_ids for r in ordering.block_tokens(spans, docs, ["doc"], "ids", eos=-1).collect()}
-    flat = [t for d in range(50) for t in [d] * (d % 9) + [-1]]
+    docs = docs.unionByName(spark.createDataFrame([(50, list(range(100_000)))], docs.schema))
+    sizes = docs.select("doc", (F.size("ids") + 1).cast("long").alias("n"))
+    starts = ordering.running_offsets(spark, sizes, ["doc"], "n")
+    out = {r.block: r.input_ids for r in ordering.block_tokens(starts, docs, ["doc"], "ids", block=16, eos=-1).collect()}
+    flat = [t for d in range(50) for t in [d] * (d % 9) + [-1]] + [*range(100_000), -1]
     assert out == {b: flat[b * 16 : (b + 1) * 16] for b in range(len(flat) // 16)}
 
 
@@ -73,13 +75,19 @@ def test_pad_batch(spark, side):
 
 def test_head_is_pushed_to_the_scan(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = selection.head_examples(docs, 10, ordinal="doc_id")
+    out = selection.head_examples(docs, 10, ordinal="doc_id", dense=True)
     assert "LessThan(doc_id,10)" in plan(out) and out.count() == 10
     assert selection.head_examples(docs, None) is docs
     with pytest.raises(ValueError):
         selection.head_examples(docs, 10**6, ordinal="doc_id", strict=True)
 
 
+@pytest.mark.parametrize("keys", [range(1, 21), range(0, 100, 7), [3, 1, 50, 2, 40, 90]])
+def test_head_takes_positions_of_any_keys(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "ordinal long").repartition(3)
+    assert sorted(r.ordinal for r in selection.head_examples(df, 5).collect()) == sorted(keys)[:5]
+
+
 def test_length_filter_is_inclusive_and_tokenizes_once(spark, sf_dir):
     df = spark.createDataFrame([(0, "a"), (1, "a b"), (2, "a b c"), (3, "")], "id long, t string")
     out = selection.max_length_filter(df, F.split("t", " "), 2)

@@ -4,19 +4,19 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from helpers import plan
+from workload.queries import REGISTRY
 
 PYTHON_ALLOWED = {
     "batch_generate", "batch_judge", "batch_score",
-    "generate_completions", "judge_against_reference", "judge_matches",
+    "generate_completions", "judge_against_reference", "judge_matches", "tokenize_plugin",
 }
-BATCH = sorted(n for n in queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in REGISTRY if not n.startswith("stream_"))
 
 
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
-    return {n: plan(queries()[n](spark, sf_dir)) for n in BATCH}
+    return {n: plan(REGISTRY[n](spark, sf_dir)) for n in BATCH}
 
 
 def test_no_cross_joins(plans):

@@ -79,8 +79,10 @@ def test_long_conversations_continue_on_further_rows(spark):
     turns = spark.range(10).select(
         F.lit(7).alias("c"), F.col("id").alias("t"), F.lit("user").alias("r"), F.col("id").cast("string").alias("x")
     )
-    out = reshape.assemble_messages(turns, "c", "t", "r", "x", segment_turns=4).orderBy("segment").collect()
+    out = reshape.assemble_messages(turns, "c", "t", "r", "x", turns_per_row=4).orderBy("segment").collect()
     assert [[m.content for m in r.messages] for r in out] == [list("0123"), list("4567"), list("89")]
+    whole = [m.content for r in out for m in r.messages]
+    assert whole == [r.x for r in turns.orderBy("t").collect()]
 
 
 def test_neighbouring_replies_spread_one_conversation(spark):

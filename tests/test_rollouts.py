@@ -6,12 +6,17 @@ from pyspark.sql import functions as F
 from helpers import plan
 from thumbwheel.operators import rollouts as RO
 from thumbwheel.plans import training_log
+from thumbwheel.sources import readers
 from workload import inputs
 from workload.inputs import CONFIG
 
 SCHEMA = (
     "update_id long, prompt_id long, sample_idx long, rollout_id long, response array<int>, "
-    "logp array<double>, ref_logp array<double>, new_logp array<double>, score array<double>"
+    "logp array<double>, ref_logp array<double>, score array<double>"
+)
+POLICY = (
+    "rollout_id long, ppo_epoch long, minibatch long, microbatch long, "
+    "new_logp array<double>, token_entropy array<double>"
 )
 
 
@@ -25,17 +30,18 @@ def brute(row, cfg):
     mask = lambda xs: [x if i <= last else 1.0 for i, x in enumerate(xs)]
     logp, ref = mask(row[5]), mask(row[6])
     kl = sum(a - b for a, b in zip(logp, ref))
-    score = [x - (0 if 1 in ids else cfg.missing_eos_penalty) for x in row[8]]
+    score = [x - (0 if 1 in ids else cfg.missing_eos_penalty) for x in row[7]]
     return kl, float(score.index(max(score))), -cfg.kl_coef * kl + score.index(max(score))
 
 
 ROWS = [
-    (1, 10, 0, 100, [5, 1, 6], [-1.0, -2.0, -3.0], [-0.5, -1.0, -9.0], [-1.5, -2.0, -4.0], [0.25, 0.5]),
-    (1, 10, 1, 101, [5, 6, 7], [-1.0, -1.0, -1.0], [-1.0, -1.0, -1.0], [-1.0, -1.0, -1.0], [0.5, 0.5]),
-    (1, 11, 0, 110, [1, 6, 7], [-0.5, -1.0, -1.0], [-0.25, -1.0, -1.0], [-0.5, -1.0, -1.0], [1.0, 0.0]),
-    (2, 10, 0, 120, [5, 6, 1], [-0.5, -1.0, -1.0], [-0.25, -2.0, -1.0], [-0.5, -1.0, -1.0], [0.0, 1.0]),
-    (2, 10, 1, 121, [5, 6, 1], [-0.5, -1.0, -1.0], [-0.25, -2.0, -4.0], [-0.5, -1.0, -1.0], [0.0, 1.0]),
+    (1, 10, 0, 100, [5, 1, 6], [-1.0, -2.0, -3.0], [-0.5, -1.0, -9.0], [0.25, 0.5]),
+    (1, 10, 1, 101, [5, 6, 7], [-1.0, -1.0, -1.0], [-1.0, -1.0, -1.0], [0.5, 0.5]),
+    (1, 11, 0, 110, [1, 6, 7], [-0.5, -1.0, -1.0], [-0.25, -1.0, -1.0], [1.0, 0.0]),
+    (2, 10, 0, 120, [5, 6, 1], [-0.5, -1.0, -1.0], [-0.25, -2.0, -1.0], [0.0, 1.0]),
+    (2, 10, 1, 121, [5, 6, 1], [-0.5, -1.0, -1.0], [-0.25, -2.0, -4.0], [0.0, 1.0]),
 ]
+NEW = {100: [-1.5, -2.0, -4.0], 101: [-1.0] * 3, 110: [-0.5, -1.0, -1.0], 120: [-0.5, -1.0, -1.0], 121: [-0.5, -1.0, -1.0]}
 
 
 @pytest.fixture
@@ -43,6 +49,13 @@ def log(spark):
     return spark.createDataFrame(ROWS, SCHEMA)
 
 
+@pytest.fixture
+def policy(spark):
+    """Two epochs: the second repeats the first's values a little lower."""
+    rows = [(i, e, 0, 0, [x - e / 4 for x in new], ROWS[0][5]) for i, new in NEW.items() for e in (0, 1)]
+    return spark.createDataFrame(rows, POLICY)
+
+
 def test_rewards_by_hand(log):
     out = RO.rollout_rewards(RO.masked_rollouts(log, CONFIG), CONFIG)
     got = {r.rollout_id: (r.kl, r.reward_score, r.rlhf_reward) for r in out.collect()}
@@ -94,9 +107,32 @@ def test_entropy_counts_masked_positions_unless_told_otherwise(log):
     assert (row.a, row.b) == (2.0, 3.0)
 
 
-def test_policy_terms_by_hand(log):
-    whole = log.withColumn("token_entropy", F.col("logp"))
-    row = training_log.policy_rollouts(whole, CONFIG).where("rollout_id = 100").first()
+def test_epochs_share_the_advantage_of_their_rollout(spark):
+    rows = [(1, 10, i, 100 + i, [5, 1], [-1.0, -1.0], [-1.0, -1.0], [1.0 * i, 0.5]) for i in (0, 1)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    steps = [(100 + i, e, e, 0, [-1.0, -1.0 - e], [0.5, 0.5]) for i in (0, 1) for e in (0, 1)]
+    out = training_log.policy_rollouts(log, spark.createDataFrame(steps, POLICY), CONFIG).collect()
+    assert sorted((r.rollout_id, r.ppo_epoch, r.advantage) for r in out) == [
+        (100, 0, 1.0), (100, 1, 1.0), (101, 0, -1.0), (101, 1, -1.0),
+    ]
+    row = training_log.training_metrics(
+        log.withColumns({"elapsed": F.lit(2.0), "lr": F.lit(0.5)}), spark.createDataFrame(steps, POLICY), CONFIG, 8, 4
+    ).first()
+    assert row["val/num_eos_tokens"] == 2 and row["objective/scores"] == 0.5 and row["lr"] == 0.5
+
+
+def test_a_stored_log_gives_metrics(spark, sf_dir, folder):
+    inputs.rollouts(spark, sf_dir).write.parquet(f"{folder}/rollouts")
+    inputs.policy_log(spark, sf_dir).write.parquet(f"{folder}/policy")
+    rollouts = readers.read_rollouts(spark, f"{folder}/rollouts")
+    out = training_log.training_metrics(rollouts, readers.read_policy_log(spark, f"{folder}/policy"), CONFIG, 64, 1000)
+    assert out.count() == rollouts.select("update_id").distinct().count()
+    assert readers.duplicate_samples(rollouts).isEmpty()
+
+
+def test_policy_terms_by_hand(log, policy):
+    out = training_log.policy_rollouts(log, policy, CONFIG)
+    row = out.where("rollout_id = 100 and ppo_epoch = 0").first()
     ratio = math.exp(-0.5)
     assert row.ratio == pytest.approx(ratio)
     assert row.loss == pytest.approx(max(-row.advantage * ratio, -row.advantage * 0.8))
@@ -105,7 +141,12 @@ def test_policy_terms_by_hand(log):
 
 def test_sums_equal_sums_over_masked_arrays(spark, sf_dir):
     masked = RO.masked_rollouts(inputs.rollouts(spark, sf_dir), CONFIG)
-    both = RO.policy_sums(masked).select(
+    log = inputs.policy_log(spark, sf_dir)
+    sums = RO.policy_sums(log, RO.sized_rollouts(inputs.rollouts(spark, sf_dir), CONFIG))
+    new = log.join(masked.select("rollout_id", "logp", "sequence_length"), "rollout_id").select(
+        "rollout_id", "ppo_epoch", "logp", RO.K.mask_after(F.col("new_logp"), F.col("sequence_length")).alias("new_logp")
+    )
+    both = sums.join(new, ["rollout_id", "ppo_epoch"]).select(
         (F.col("logp_sum") == RO.K.array_sum(F.col("logp"))).alias("a"),
         (F.col("new_logp_sum") == RO.K.array_sum(F.col("new_logp"))).alias("b"),
         (F.abs(F.col("token_ratio_sum") - RO.R.token_ratio_sum(F.col("new_logp"), F.col("logp"))) < 1e-9).alias("c"),
@@ -113,16 +154,14 @@ def test_sums_equal_sums_over_masked_arrays(spark, sf_dir):
     assert both.where("NOT (a AND b AND c)").count() == 0
 
 
-def test_token_arrays_do_not_travel(log, folder, spark):
-    log.withColumn("token_entropy", F.col("logp")).withColumn("ppo_epoch", F.lit(0)).withColumn(
-        "minibatch", F.lit(0)
-    ).withColumn("microbatch", F.lit(0)).write.parquet(f"{folder}/r")
-    out = training_log.training_slot_stats(spark.read.parquet(f"{folder}/r"), CONFIG)
+def test_token_arrays_do_not_travel_to_the_advantages(log, folder, spark):
+    log.write.parquet(f"{folder}/r")
+    out = training_log.scored_rollouts(spark.read.schema(SCHEMA).parquet(f"{folder}/r"), CONFIG)
     shuffled = out._jdf.queryExecution().executedPlan().toString().split("Window")[-1]
     project = shuffled.split("Exchange")[1].split("Project [")[1].split("\n")[0]
     columns = [c.split(" AS ")[-1].split("#")[0].strip() for c in project.split(", ")]
-    assert "token_ratio_sum" in columns
-    assert not set(columns) & {"logp", "new_logp", "ref_logp", "response", "token_entropy"}
+    assert "objective_entropy" in columns
+    assert not set(columns) & {"logp", "ref_logp", "response", "truncated", "score"}
 
 
 def test_rewards_need_no_shuffle_or_python(log, folder, spark):

@@ -31,6 +31,19 @@ def test_csv_from_pandas(spark, folder):
     assert [r.text for r in got] == TEXTS
 
 
+def test_parts_are_ordered_by_number(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/csv")
+    for part, text in ((99999, "first"), (100000, "second"), (100001, "third")):
+        with open(f"{folder}/csv/part-{part:05d}-x-c000.csv", "w") as f:
+            f.write(f'Text\n"{text}"\n"{text} too"\n')
+    got = readers.read_completions(spark, f"{folder}/csv", "m").orderBy("ordinal").collect()
+    assert [(r.ordinal, r.text) for r in got] == list(
+        enumerate(["first", "first too", "second", "second too", "third", "third too"])
+    )
+
+
 def test_split_reads_one_partition(spark, sf_dir, folder):
     pairs = inputs.pairs(spark, sf_dir)
     pairs.write.partitionBy("split").parquet(f"{folder}/p")
@@ -47,15 +60,15 @@ def test_adapter_layouts(spark):
 
 
 def test_nan_scores_fail_the_read(spark, folder):
-    row = (1, 1, 0, 1, [1], [0.0], [0.0], [0.0], [float("nan"), 1.0], 0, 0, 0)
+    row = (1, 1, 0, 1, [1], [0.0], [0.0], [float("nan"), 1.0], 0.0, 0.0)
     spark.createDataFrame([row], schemas.ROLLOUTS).write.parquet(f"{folder}/r")
     with pytest.raises(Exception, match="NaN reward logit"):
         readers.read_rollouts(spark, f"{folder}/r").collect()
 
 
 def test_duplicate_samples_are_reported(spark):
-    df = spark.createDataFrame([(1, 1, 0, 0), (1, 1, 0, 0), (1, 1, 1, 0)], "update_id long, prompt_id long, sample_idx long, ppo_epoch long")
-    assert [tuple(r) for r in readers.duplicate_samples(df).collect()] == [(1, 1, 0, 0, 2)]
+    df = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (1, 1, 1)], "update_id long, prompt_id long, sample_idx long")
+    assert [tuple(r) for r in readers.duplicate_samples(df).collect()] == [(1, 1, 0, 2)]
 
 
 def test_metrics_append(spark, folder):

@@ -46,32 +46,31 @@ def reward_rows():
     return first, second
 
 
-EXPECTED = {10: 0.75, 11: -0.75, 20: 0.0, 21: 0.0, 12: 3.0, 13: -3.0}
+EXPECTED = {10: 0.75, 11: -0.75, 20: 0.0, 21: 0.0, 12: 3.0, 13: -3.0, 30: None}
 
 
-def test_eager_advantages_arrive_with_the_last_sample(spark, folder):
+def test_stream_gives_every_slot_of_the_batch(spark, folder):
     first, second = reward_rows()
     source = f"{folder}/in"
-
-    def advantages():
-        stream = feedback.read_table_stream(spark, source, spark.read.parquet(source).schema)
-        return feedback.stream_rloo_eager(stream, k=2)
-
     write_batch(spark, first, REWARDS, source)
-    assert drain(spark, advantages(), folder) == []
     write_batch(spark, second, REWARDS, source)
-    got = {r.rollout_id: r.advantage for r in drain(spark, advantages(), folder)}
+    write_batch(spark, [(None, None, None, None, None, END[0])], REWARDS, source)
+    stream = feedback.read_table_stream(spark, source, spark.read.parquet(source).schema)
+    got = {r.rollout_id: r.advantage for r in drain(spark, feedback.stream_rloo_advantage(stream, 2), folder)}
     assert got == EXPECTED
-    with pytest.raises(ValueError):
-        feedback.stream_rloo_eager(spark.range(1), k=1)
 
 
-def test_windowed_advantages_leave_incomplete_slots_out(spark, folder):
-    first, second = reward_rows()
+def test_slots_and_updates_straddle_any_boundary(spark, folder):
+    s = lambda n: dt.datetime(2024, 1, 1, 0, 0) + dt.timedelta(seconds=n)
     source = f"{folder}/in"
-    write_batch(spark, first, REWARDS, source)
-    write_batch(spark, second, REWARDS, source)
+    rows = [(1, 1, 0, 10, 1.0, s(599)), (1, 1, 1, 11, 0.0, s(600)), (1, 2, 0, 20, 0.5, s(1100))]
+    write_batch(spark, rows, REWARDS, source)
     write_batch(spark, [(None, None, None, None, None, END[0])], REWARDS, source)
     stream = feedback.read_table_stream(spark, source, spark.read.parquet(source).schema)
     got = {r.rollout_id: r.advantage for r in drain(spark, feedback.stream_rloo_advantage(stream, 2), folder)}
-    assert got == EXPECTED
+    assert got == {10: 1.0, 11: -1.0, 20: None}
+    zero = [F.lit(0.0).alias(c) for c in ("kl", "objective_entropy", "non_score_reward", "reward_score", "num_eos", "lr")]
+    stream = feedback.read_table_stream(spark, source, spark.read.parquet(source).schema)
+    scored = stream.select("*", *zero, F.lit(1.0).alias("elapsed"))
+    out = drain(spark, feedback.stream_update_metrics(scored, 4, 2, 10), folder, "updates")
+    assert [(r.update_id, r.n, r["objective/rlhf_reward"]) for r in out] == [(1, 3, 0.5)]

@@ -33,6 +33,12 @@ def leave_one_out(reward: Column, total: Column, n: Column) -> Column:
     return reward - F.try_divide(total - reward, n - 1)
 
 
+def at_most(n: Column, k: int) -> Column:
+    """``n``, or an error where a slot holds more than its ``k`` samples (a sample logged twice)."""
+    message = F.concat(F.lit(f"a slot of {k} has samples: "), n.cast("string"))
+    return F.when(n > k, F.raise_error(message).cast("int")).otherwise(n)
+
+
 def sequence_ratio(new_sum: Column, old_sum: Column) -> Column:
     return F.exp(new_sum - old_sum)
 

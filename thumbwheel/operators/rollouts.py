@@ -90,7 +90,8 @@ def rloo_advantage(df: DataFrame, k: int) -> DataFrame:
     """Leave-one-out advantage inside each prompt's slot of ``k`` samples.
 
     The slot is part of the partition key, so the window spans at most ``k``
-    rows however often a prompt is repeated. A lone sample gets NULL.
+    rows however often a prompt is repeated; more fail the query. A lone sample
+    gets NULL.
     """
     keyed = df.withColumn("slot", F.floor(F.col("sample_idx") / F.lit(k)).cast("long"))
     group = Window.partitionBy("update_id", "prompt_id", "slot")
@@ -99,7 +100,7 @@ def rloo_advantage(df: DataFrame, k: int) -> DataFrame:
         R.leave_one_out(
             F.col("rlhf_reward"),
             F.sum("rlhf_reward").over(group),
-            F.count(F.lit(1)).over(group),
+            R.at_most(F.count(F.lit(1)).over(group), k),
         ),
     )
 
@@ -234,3 +235,56 @@ def log_softmax_gather(
             (F.col("log_z") - total("sx") / F.col("__s")).alias("entropy"),
         )
     )
+
+
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def token_statistics(logits: Column, token: Column, temperature: float | None = None) -> Column:
+    """``logp`` of the drawn token and ``entropy``, from an array of logits; one row expression."""
+    scale = 1.0 if temperature is None else temperature + 1e-7
+    scaled = F.transform(logits, lambda x: x.cast("double") / F.lit(scale))
+
+    def sums(x: Column, top: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("sx"))
+        add = lambda acc, v: _let(
+            F.exp(v - top), lambda e: F.struct((acc["s"] + e).alias("s"), (acc["sx"] + e * v).alias("sx"))
+        )
+        return F.aggregate(x, start, add)
+
+    def of(x: Column, top: Column, total: Column) -> Column:
+        log_z = top + F.log(total["s"])
+        return F.struct(
+            (F.get(x, token.cast("int")) - log_z).alias("logp"),
+            (log_z - total["sx"] / total["s"]).alias("entropy"),
+        )
+
+    return _let(
+        scaled, lambda x: _let(F.array_max(x), lambda top: _let(sums(x, top), lambda total: of(x, top, total)))
+    )
+
+
+def log_from_logits(
+    df: DataFrame,
+    logits: str,
+    response: str = "response",
+    logp: str = "logp",
+    entropy: str | None = None,
+    temperature: float | None = None,
+) -> DataFrame:
+    """Replace ``logits`` (an array per position) by the log columns: no shuffle, no Python.
+
+    Applied to a sampled response's policy and reference logits it makes a
+    rollout row; to the logits of an optimisation step, with ``entropy``, a row
+    of the policy log.
+    """
+    found = F.transform(
+        F.arrays_zip(F.col(logits).alias("logits"), F.col(response).alias("token")),
+        lambda p: token_statistics(p["logits"], p["token"], temperature),
+    )
+    out = df.withColumn("__stats", found).withColumn(logp, F.col("__stats.logp"))
+    if entropy is not None:
+        out = out.withColumn(entropy, F.col("__stats.entropy"))
+    return out.drop("__stats", logits)

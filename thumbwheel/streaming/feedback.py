@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from thumbwheel.functions.rollout import leave_one_out
+from thumbwheel.functions.rollout import at_most, leave_one_out
 from thumbwheel.operators.reshape import pairs_to_unpaired
 
 
 def read_table_stream(
-    spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    glob: str | None = None,
+    files_per_trigger: int = 1000,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    """A file stream; a backlog is worked off ``files_per_trigger`` files at a time."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
@@ -58,22 +59,43 @@ def stream_thumbs_rate(
     )
 
 
+# The metric names.
 def stream_update_metrics(
-    rewards: DataFrame, ts: str = "ts", window: str = "10 minutes", watermark: str = "10 minutes"
+    rewards: DataFrame,
+    batch_size: int,
+    k: int,
+    n_train: int,
+    ts: str = "ts",
+    gap: str = "10 minutes",
+    watermark: str = "10 minutes",
 ) -> DataFrame:
-    """Objective means per update while training runs."""
+    """One row of objective metrics per update while training runs.
+
+    ``rewards`` are scored rollouts. An update ends ``gap`` after its last
+    rollout, wherever that lies on the clock, so its rows are never split. The
+    averages over optimisation slots need a second aggregation; take them from
+    the log table in batch.
+    """
+    episode = F.col("update_id") * F.lit(batch_size)
     return (
         rewards.withWatermark(ts, watermark)
-        .groupBy(F.window(ts, window).alias("w"), "update_id")
+        .groupBy(F.session_window(ts, gap).alias("w"), "update_id")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.avg("kl").alias("objective/kl"),
+            F.avg("objective_entropy").alias("objective/entropy"),
             F.avg("non_score_reward").alias("objective/non_score_reward"),
             F.avg("rlhf_reward").alias("objective/rlhf_reward"),
             F.avg("reward_score").alias("objective/scores"),
+            F.sum("num_eos").alias("val/num_eos_tokens"),
+            F.max("lr").alias("lr"),
+            F.max("elapsed").alias("__elapsed"),
         )
-        .select(F.col("w.start").alias("window_start"), "*")
-        .drop("w")
+        .withColumn("first_seen", F.col("w.start"))
+        .withColumn("episode", episode)
+        .withColumn("eps", F.floor(F.try_divide(episode, F.col("__elapsed"))).cast("long"))
+        .withColumn("epoch", episode / F.lit(float(k * n_train)))
+        .drop("w", "__elapsed")
     )
 
 
@@ -81,94 +103,27 @@ def stream_rloo_advantage(
     rewards: DataFrame,
     k: int,
     ts: str = "ts",
-    window: str = "10 minutes",
+    gap: str = "10 minutes",
     watermark: str = "10 minutes",
 ) -> DataFrame:
-    """Advantages of complete slots; incomplete ones leave with the watermark.
+    """Advantages of every slot, ``gap`` after its last sample: the rows of the batch operator.
 
-    A slot's samples must fall in one window. State per slot is at most ``k``
-    samples because the slot number is part of the key; a sample delivered
-    again is the same set member.
+    A sample without company gets NULL, as in batch. State per slot is at most
+    ``k`` samples because the slot number is part of the key; more fail the
+    stream. A sample delivered again is the same set member.
     """
-    n, total = F.size("samples"), F.aggregate(
-        "samples", F.lit(0.0), lambda acc, s: acc + s["rlhf_reward"]
-    )
+    n = F.size("samples")
+    total = F.aggregate("samples", F.lit(0.0), lambda acc, s: acc + s["rlhf_reward"])
     return (
         rewards.withWatermark(ts, watermark)
         .withColumn("slot", F.floor(F.col("sample_idx") / F.lit(k)).cast("long"))
-        .groupBy(F.window(ts, window).alias("w"), "update_id", "prompt_id", "slot")
+        .groupBy(F.session_window(ts, gap).alias("w"), "update_id", "prompt_id", "slot")
         .agg(F.collect_set(F.struct("rollout_id", "rlhf_reward")).alias("samples"))
-        .where(n == k)
         .withColumn("total", total)
-        .select(
-            "update_id",
-            "prompt_id",
-            "total",
-            F.inline("samples"),
-        )
-        .withColumn(
-            "advantage", leave_one_out(F.col("rlhf_reward"), F.col("total"), F.lit(k))
-        )
-        .drop("total")
-    )
-
-
-_EAGER_OUT = "update_id long, prompt_id long, rollout_id long, rlhf_reward double, advantage double"
-
-
-def stream_rloo_eager(
-    rewards: DataFrame, k: int, ts: str = "ts", watermark: str = "10 minutes", patience_ms: int = 600_000
-) -> DataFrame:
-    """Advantages as soon as a slot is complete, without fixed windows.
-
-    State is the slot's samples so far (fewer than ``k``, by id, so a repeated
-    delivery counts once); it is cleared on
-    completion, or ``patience_ms`` of event time after the last arrival.
-    """
-    if k < 2:
-        raise ValueError("leave-one-out needs k of at least 2")
-
-    def step(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        samples = dict(zip(*state.get)) if state.exists else {}
-        latest = 0
-        for batch in batches:
-            samples.update(zip(batch["rollout_id"].tolist(), batch["rlhf_reward"].tolist()))
-            latest = max(latest, int(batch[ts].max().timestamp() * 1000))
-        ids, values = list(samples), list(samples.values())
-        if len(ids) < k:
-            state.update((ids, values))
-            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + patience_ms)
-            return
-        if state.exists:
-            state.remove()
-        total = sum(values)
-        yield pd.DataFrame(
-            {
-                "update_id": key[0],
-                "prompt_id": key[1],
-                "rollout_id": ids,
-                "rlhf_reward": values,
-                "advantage": [v - (total - v) / (len(values) - 1) for v in values],
-            }
-        )
-
-    return (
-        rewards.select("update_id", "prompt_id", "sample_idx", "rollout_id", "rlhf_reward", ts)
-        .withWatermark(ts, watermark)
-        .withColumn("slot", F.floor(F.col("sample_idx") / F.lit(k)).cast("long"))
-        .groupBy("update_id", "prompt_id", "slot")
-        .applyInPandasWithState(
-            step,
-            _EAGER_OUT,
-            "ids array<long>, vals array<double>",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
+        .withColumn("n", at_most(n, k))
+        .select("update_id", "prompt_id", "total", "n", F.inline("samples"))
+        .withColumn("advantage", leave_one_out(F.col("rlhf_reward"), F.col("total"), F.col("n")))
+        .drop("total", "n")
     )
 
 

@@ -254,11 +254,34 @@ def build() -> dict[str, str]:
                arg_min(id, pos) first_id, arg_max(id, pos) last_id
         from stream where pos // 2048 < full_blocks group by 1"""
     sql["truncate_prompt"] = _with(WORDS) + """
-        , l as (select doc_id, n, list(id order by i) t from ids join nt using (doc_id)
-                join labels using (doc_id) group by 1, 2),
-        c as (select doc_id, n, t, least(n, 512) np, least(n, 2048 - least(n, 512)) nc from l)
-        select doc_id, np prompt_tokens, nc completion_tokens, t[n - np + 1] prompt_first, t[n] prompt_last,
-               t[1] completion_first, t[nc] completion_last from c"""
+        , l as (select doc_id, n, list(id order by i) t from ids join nt using (doc_id) group by 1, 2),
+        c as (select p.doc_id, p.n pn, p.t pt, a.t answer, least(p.n, 512) np, least(a.n, 2048 - least(p.n, 512)) nc
+              from l p join labels using (doc_id) join l a on a.doc_id = p.doc_id + 1)
+        select doc_id, np prompt_tokens, nc completion_tokens, pt[pn - np + 1] prompt_first, pt[pn] prompt_last,
+               answer[1] completion_first, answer[nc] completion_last from c"""
+    sql["tokenize_plugin"] = _with(WORDS) + """
+        select doc_id, count(*) n_tokens, cast(sum(id) as bigint) id_sum from ids group by 1"""
+    sql["rloo_prompts"] = _with(WORDS) + """
+        , l as (select doc_id, n, sum(id) s, arg_max(id, i) z from ids join nt using (doc_id) group by 1, 2),
+        b as (select *, doc_id // 32 batch_id, max(n) over (partition by doc_id // 32) width from l)
+        select doc_id ordinal, batch_id, unnest([0, 1]) sample_idx, width, n n_real, cast(s as bigint) id_sum,
+               z last_id from b"""
+    words = r"len(regexp_extract_all({0}, '[^ \t\n\r\f\v]+'))"
+    chat = "'<|im_start|>' || {0} || chr(10) || {1} || '<|im_end|>' || chr(10)"
+    sql["sft_packing"] = f"""
+        with t as (select conv_id, turn, {words.format(chat.format('role', 'text'))}
+                          + (turn = max(turn) over (partition by conv_id))::bigint n from conversations),
+        r as (select *, cast(sum(n) over (order by conv_id, turn) - n as bigint) st,
+                     cast(sum(n) over () as bigint) // 2048 full_blocks from t),
+        s as (select *, unnest(generate_series(st // 2048, (st + n - 1) // 2048)) block from r)
+        select block, conv_id, turn, greatest(block * 2048 - st, 0) from_token,
+               least((block + 1) * 2048 - st, n) to_token from s where block < full_blocks"""
+    sql["kto_training_rows"] = _with(PAIRS) + f"""
+        , n as (select example_id, branch, split, label = 1 as label,
+                       {words.format(chat.format("'user'", 'prompt'))} np,
+                       {words.format(chat.format("'assistant'", 'reply'))} nc from unpaired)
+        select example_id, branch, split, label, least(np, 12) prompt_tokens,
+               least(nc, 40 - least(np, 12)) completion_tokens from n"""
     padded = _with(WORDS) + """
         , l as (select doc_id, n, sum(id) s, arg_min(id, i) f, arg_max(id, i) z
                 from ids join nt using (doc_id) group by 1, 2),
@@ -278,6 +301,8 @@ def build() -> dict[str, str]:
         select update_id, cast(sum(num_eos) as bigint) num_eos_tokens from rw group by 1"""
     sql["log_softmax_gather"] = _with(LOGITS) + "select rollout_id, pos, round(pxt - lzt, 6) logp from lse"
     sql["log_softmax_generation"] = _with(LOGITS) + "select rollout_id, pos, round(px - lz, 6) logp from lse"
+    sql["log_softmax_arrays"] = _with(LOGITS) + """
+        select rollout_id, pos, round(pxt - lzt, 6) logp, round(lzt - ex, 6) entropy from lse"""
     sql["token_entropy"] = _with(LOGITS) + "select rollout_id, pos, round(lzt - ex, 6) entropy from lse"
 
     # joins
@@ -447,11 +472,14 @@ def build() -> dict[str, str]:
         count(*) filter (event_type = 'purchase') n_up, count(*) n,
         round(count(*) filter (event_type = 'purchase') / count(*), 6) up_rate
         from events where event_type in ('purchase', 'error') group by 1"""
-    sql["stream_update_metrics"] = ro + """select 1700000400 + update_id * 600 window_start, update_id, count(*) n,
-        round(avg(kl), 6) "objective/kl", round(avg(non_score_reward), 6) "objective/non_score_reward",
-        round(avg(rlhf_reward), 6) "objective/rlhf_reward", round(avg(reward_score), 6) "objective/scores"
+    sql["stream_update_metrics"] = ro + """select update_id, count(*) n,
+        min(1700000037 + update_id * 613 + prompt_id % 97 * 3 + sample_idx) first_seen,
+        round(avg(kl), 6) "objective/kl", round(avg(-logp_sum), 6) "objective/entropy",
+        round(avg(non_score_reward), 6) "objective/non_score_reward",
+        round(avg(rlhf_reward), 6) "objective/rlhf_reward", round(avg(reward_score), 6) "objective/scores",
+        cast(sum(num_eos) as bigint) "val/num_eos_tokens", round(1.0::double / (update_id * 4), 6) lr,
+        update_id * 512 episode, cast(floor(update_id * 512 / (update_id * 30.0)) as bigint) eps,
+        round(update_id * 512 / 2000.0::double, 6) epoch
         from rw group by update_id"""
-    sql["stream_rloo_advantage"] = ro + f"""
-        , c as (select *, count(*) over (partition by update_id, prompt_id, sample_idx // 2) n_slot from adv)
-        select {adv} from c where n_slot = 2"""
+    sql["stream_rloo_advantage"] = sql["rloo_advantage"]
     return sql

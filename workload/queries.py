@@ -300,6 +300,48 @@ def tokenize(spark, d):
     )
 
 
+@query
+def tokenize_plugin(spark, d):
+    """A tokenizer plugged in as a pandas UDF; it gives the ids of the built-in one."""
+    plugged = F.pandas_udf(judges.crc_tokenizer, "array<int>")
+    docs = I.table(spark, d, "documents").select("doc_id", plugged("text").alias("ids"))
+    return docs.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("id_sum"),
+    )
+
+
+@query
+def rloo_prompts(spark, d):
+    prompts = I.table(spark, d, "documents").select(
+        F.col("doc_id").alias("ordinal"), F.col("text").alias("prompt")
+    )
+    out = datasets.rloo_prompts(prompts, K.token_ids, k=2, batch_size=32)
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return out.select(
+        "ordinal", "batch_id", "sample_idx", F.size("input_ids").cast("long").alias("width"),
+        total("attention_mask").alias("n_real"), total("input_ids").alias("id_sum"),
+        F.get("input_ids", F.size("input_ids") - 1).alias("last_id"),
+    )
+
+
+@query
+def sft_packing(spark, d):
+    turns = I.table(spark, d, "conversations")
+    return datasets.sft_spans(spark, turns, K.token_ids, 2048)
+
+
+@query
+def kto_training_rows(spark, d):
+    out = datasets.kto_training_rows(I.pairs(spark, d), K.token_ids, max_prompt=12, max_length=40)
+    return out.select(
+        "example_id", "branch", "split", "label",
+        F.size("prompt_ids").cast("long").alias("prompt_tokens"),
+        F.size("completion_ids").cast("long").alias("completion_tokens"),
+    )
+
+
 @query
 def reward_training_rows(spark, d):
     """Rendered, tokenized and length-limited completions with their labels."""
@@ -338,12 +380,13 @@ def packed_block_tokens(spark, d):
 
 @query
 def truncate_prompt(spark, d):
-    """Document text as the prompt, the same document's labelled text as the completion."""
-    rows = I.thumbs(spark, d).select("doc_id", K.token_ids(F.col("text")).alias("ids"))
-    prompt, completion = K.truncate_pair(F.col("ids"), F.col("ids"), 512, 2048)
-    return rows.select(
-        "doc_id", prompt.alias("p"), completion.alias("c"), F.size("ids").alias("n")
-    ).select(
+    """A document's text as the prompt, the text of the next labelled document id as the completion."""
+    labels = I.table(spark, d, "labels").select("doc_id")
+    ids = I.table(spark, d, "documents").select("doc_id", K.token_ids(F.col("text")).alias("ids"))
+    prompts = ids.join(labels, "doc_id")
+    answers = ids.select((F.col("doc_id") - 1).alias("doc_id"), F.col("ids").alias("answer"))
+    prompt, completion = K.truncate_pair(F.col("ids"), F.col("answer"), 512, 2048)
+    return prompts.join(answers, "doc_id").select("doc_id", prompt.alias("p"), completion.alias("c")).select(
         "doc_id",
         F.size("p").cast("long").alias("prompt_tokens"),
         F.size("c").cast("long").alias("completion_tokens"),
@@ -425,6 +468,23 @@ def log_softmax_generation(spark, d):
     return rounded(RO.log_softmax_gather(I.logits(spark, d)).select("rollout_id", "pos", "logp"))
 
 
+@query
+def log_softmax_arrays(spark, d):
+    """Array logits to log-probability and entropy in one row expression."""
+    rows = I.table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("rollout_id"),
+        F.transform(
+            F.sequence(F.lit(0), F.lit(3)), lambda p: F.slice("embedding", p * 16 + 1, F.lit(16))
+        ).alias("logits"),
+        F.transform(F.sequence(F.lit(0), F.lit(3)), lambda p: (F.col("vec_id") + p) % 16).alias("response"),
+    )
+    log = RO.log_from_logits(rows, "logits", entropy="token_entropy", temperature=0.7)
+    flat = log.select("rollout_id", F.posexplode(F.arrays_zip("logp", "token_entropy")).alias("pos", "x"))
+    return rounded(
+        flat.select("rollout_id", F.col("pos").cast("long").alias("pos"), "x.logp", F.col("x.token_entropy").alias("entropy"))
+    )
+
+
 @query
 def token_entropy(spark, d):
     out = RO.log_softmax_gather(I.logits(spark, d), temperature=0.7)
@@ -865,18 +925,19 @@ def stream_thumbs_rate(spark, d):
 
 
 def _reward_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    ts = F.timestamp_seconds(F.lit(1_700_000_400) + F.col("update_id") * 600 + F.col("sample_idx"))
-    rewards = _rewards(spark, d).select(
-        "update_id", "prompt_id", "sample_idx", "rollout_id",
-        "kl", "non_score_reward", "reward_score", "rlhf_reward", ts.alias("ts"),
-    )
-    return _stream_of(spark, rewards, "ts", name)
+    """Scored rollouts at times that no window boundary knows of: slots and updates straddle any."""
+    seconds = F.col("update_id") * 613 + F.col("prompt_id") % 97 * 3 + F.col("sample_idx")
+    ts = F.timestamp_seconds(F.lit(1_700_000_037) + seconds)
+    rewards = training_log.scored_rollouts(I.rollouts(spark, d), CFG).drop("advantage", "slot")
+    return _stream_of(spark, rewards.withColumn("ts", ts), "ts", name)
 
 
 @query
 def stream_update_metrics(spark, d):
-    stream = feedback.stream_update_metrics(_reward_stream(spark, d, "update-stream"))
-    return _epoch_seconds(_drained(spark, stream, "update-metrics"))
+    rewards = _reward_stream(spark, d, "update-stream")
+    stream = feedback.stream_update_metrics(rewards, batch_size=512, k=CFG.k, n_train=1000)
+    out = _drained(spark, stream, "update-metrics")
+    return rounded(out.withColumn("first_seen", F.unix_seconds("first_seen")))
 
 
 @query
