@@ -23,14 +23,21 @@ def rows(spark):
 
 @pytest.mark.parametrize("pieces", [1, 3, 32])
 def test_group_stats_equal_group_by(rows, no_broadcast, pieces):
+    out = skew.attach_group_sums(rows, ["k"], {"total": F.col("v"), "n": F.lit(1)}, "id", pieces)
     stats = [F.sum("v").alias("total"), F.count(F.lit(1)).alias("n")]
-    out = skew.attach_group_stats(rows, ["k"], stats, "id", pieces)
     groups = {r.k: (r.total, r.n) for r in rows.groupBy("k").agg(*stats).collect()}
     got = out.collect()
     assert len(got) == 3000 and len({r.id for r in got}) == 3000
     assert all((r.total, r.n) == groups[r.k] for r in got)
 
 
+def test_the_log_is_read_once_for_sums_and_join(spark, sf_dir):
+    from workload.queries import REGISTRY
+
+    shown = plan(REGISTRY["kto_objective"](spark, sf_dir))
+    assert "l_orderkey" not in shown and "zip_with" not in shown
+
+
 def test_hot_rows_are_really_spread(rows, no_broadcast):
     dimension = rows.select("k").distinct().withColumn("d", F.lit("x"))
     out = skew.lookup_join(rows, dimension, ["k"], "id", pieces=15)

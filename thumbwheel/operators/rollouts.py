@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from thumbwheel.functions import rollout as R
 from thumbwheel.functions import tokens as K
-from thumbwheel.operators.skew import attach_group_stats, lookup_join
+from thumbwheel.operators.skew import attach_group_sums, lookup_join
 
 
 @dataclass(frozen=True)
@@ -111,8 +111,8 @@ def rloo_advantage_any_k(df: DataFrame) -> DataFrame:
     Group sums are aggregated and joined back, so a prompt with a third of all
     rollouts is spread over tasks.
     """
-    stats = [F.sum("rlhf_reward").alias("__total"), F.count(F.lit(1)).alias("__n")]
-    joined = attach_group_stats(df, ["update_id", "prompt_id"], stats, "rollout_id")
+    sums = {"__total": F.col("rlhf_reward"), "__n": F.lit(1)}
+    joined = attach_group_sums(df, ["update_id", "prompt_id"], sums, "rollout_id")
     return joined.withColumn(
         "advantage", R.leave_one_out(F.col("rlhf_reward"), F.col("__total"), F.col("__n"))
     ).drop("__total", "__n")

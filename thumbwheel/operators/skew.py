@@ -8,11 +8,13 @@ Nothing is counted first and no threshold changes the plan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from thumbwheel.session import scratch_path
+
 PIECES = 32
 _PIECE = "__piece"
 
@@ -45,17 +47,24 @@ def lookup_join(
     return _join_on(spread, placed, [*keys, _PIECE], how, null_safe).drop(_PIECE)
 
 
-def attach_group_stats(
+def attach_group_sums(
     df: DataFrame,
     keys: Sequence[str],
-    stats: Sequence[Column],
+    sums: Mapping[str, Column],
     row_key: str,
     pieces: int = PIECES,
 ) -> DataFrame:
-    """Each row with aggregates of its whole group; NULL keys form a group, as in ``groupBy``.
+    """Each row with sums over its whole group; NULL keys form a group, as in ``groupBy``.
 
-    An aggregate joined back, not a window: partial sums leave each task before
-    the shuffle, so a group is never gathered in one place.
+    The rows (scalars, as a rule) are written to the work folder once, so that what
+    made them runs once. Sums of the pieces leave the tasks that read them, the
+    few sums of a group are added up and sent back to its pieces, and the rows
+    meet them there.
     """
-    groups = df.groupBy(*keys).agg(*stats)
-    return lookup_join(df, groups, keys, row_key, "inner", pieces, null_safe=True)
+    path = scratch_path(df.sparkSession, "group-rows")
+    df.withColumn(_PIECE, F.pmod(F.xxhash64(row_key), F.lit(pieces)).cast("int")).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    parts = rows.groupBy(*keys, _PIECE).agg(*(F.sum(c).alias(name) for name, c in sums.items()))
+    groups = parts.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in sums))
+    placed = _join_on(parts.select(*keys, _PIECE), groups, keys, "inner", True)
+    return _join_on(rows, placed, [*keys, _PIECE], "inner", True).drop(_PIECE)

@@ -68,7 +68,7 @@ def read_completions(spark: SparkSession, path: str, model: str) -> DataFrame:
     placed = rows.select(
         F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__row"), text
     )
-    part = F.regexp_extract("__file", r"part-(\d+)[^/]*$", 1).cast("long")
+    part = F.regexp_extract("__file", r"part-(\d+)[^/]*$", 1).try_cast("long")
     # Per-file counts alone meet in one task; the driver lists the same files anyway.
     before = Window.orderBy(part.asc_nulls_last(), "__file").rowsBetween(Window.unboundedPreceding, -1)
     files = (

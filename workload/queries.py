@@ -595,8 +595,8 @@ def kto_objective(spark, d):
         F.col("reward_score").cast("int").alias("label"),
         "kl",
     )
-    z = F.greatest(F.avg("kl"), F.lit(0.0)).alias("z")
-    with_z = skew.attach_group_stats(rows, ["update_id"], [z], "rollout_id")
+    summed = skew.attach_group_sums(rows, ["update_id"], {"kl_sum": F.col("kl"), "n": F.lit(1)}, "rollout_id")
+    with_z = summed.withColumn("z", F.greatest(F.col("kl_sum") / F.col("n"), F.lit(0.0))).drop("n")
     return rounded(metrics.kto_objective(with_z, "update_id", beta=0.1), "loss")
 
 
