@@ -20,7 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preference pairs from neighbouring replies of ``conversations``."""
-    base = neighbouring_replies(table(spark, sf_dir, "conversations"))
+    # White space around the preferred reply: reading a reference has to strip it.
+    base = neighbouring_replies(table(spark, sf_dir, "conversations")).withColumn(
+        "chosen", F.concat(F.lit("\n "), "chosen", F.lit(" \t"))
+    )
     dialogue = lambda reply: F.array(
         message("user", F.col("prompt")), message("assistant", F.col(reply))
     )
@@ -58,33 +61,45 @@ def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One prompt per document."""
+    """One prompt per document: a request and the document's whole text."""
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ordinal"),
-        F.concat_ws(" ", F.lit("Describe"), "source", F.lit("in"), "lang").alias("prompt"),
+        F.concat(F.lit(" Describe "), "source", F.lit(":\n"), "text", F.lit("\t")).alias("prompt"),
     )
 
 
 def raw_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One judge text per order; the three models take turns as candidates."""
-    key = F.col("o_orderkey")
-    kind = key % 7
-    raw = (
-        F.when(kind < 2, "short. The answer is [[A]] and more [[B]]")
-        .when(kind < 4, "The answer is A? no. The answer is \n [[B]] x")
-        .when(kind == 4, "The answer is [[C]]")
-        .when(kind == 5, "I prefer [[A]]. The answer is [[A]]")
-        .otherwise("no verdict")
+    """One judge text per document: its own text, then a verdict of one of nine kinds.
+
+    Kinds: plain A and B, tie, a mark before the phrase, no phrase, two phrases,
+    white space around the mark, more text after it, and a mark that is none of
+    the three. The three models take turns as candidates.
+    """
+    key = F.col("doc_id")
+    said = F.element_at(
+        F.array(
+            *map(
+                F.lit,
+                (
+                    " The answer is [[A]]", "The answer is [[B]] \t", "The answer is [[C]]",
+                    "I prefer [[A]]. The answer is [[A]]", "no verdict",
+                    "The answer is A? no. The answer is [[B]]", "The answer is \n\t [[A]] \n",
+                    "short. The answer is [[B]] and more [[A]]", "The answer is [[D]]",
+                ),
+            )
+        ),
+        (key % 9 + 1).cast("int"),
     )
     model = lambda k: (
         F.when(k % 3 == 0, MODELS[0]).when(k % 3 == 1, MODELS[1]).otherwise(MODELS[2])
     )
-    return table(spark, sf_dir, "orders").select(
+    turn = F.length("text")
+    return table(spark, sf_dir, "documents").select(
         key.alias("example_id"),
-        model(F.col("o_custkey")).alias("model"),
-        model(F.col("o_custkey")).alias("model_a"),
-        model(F.col("o_custkey") + 1).alias("model_b"),
-        raw.alias("raw"),
+        model(turn).alias("model"),
+        model(turn).alias("model_a"),
+        model(turn + 1).alias("model_b"),
+        F.concat(F.lit("\n "), "text", F.lit("\n"), said, F.lit("\n")).alias("raw"),
     )
 
 

@@ -19,8 +19,8 @@ p as (select conv_id, turn, text prompt, nt reply from s where role = 'user' and
 q as (select *, lead(reply) over (partition by conv_id order by turn) rej from p),
 pairs as (select conv_id * 1000000 + turn example_id,
                  case when conv_id % 10 = 0 then 'test' else 'train' end split,
-                 'p' || conv_id prompt_id, prompt, reply chosen, rej rejected,
-                 cast(length(reply) % 21 as double) / 4 score_chosen,
+                 'p' || conv_id prompt_id, prompt, chr(10) || ' ' || reply || ' ' || chr(9) chosen, rej rejected,
+                 cast((length(reply) + 4) % 21 as double) / 4 score_chosen,
                  cast(length(rej) % 21 as double) / 4 score_rejected
           from q where rej is not null),
 unpaired as (select example_id, 0 branch, split, prompt, chosen reply, 1 label from pairs
@@ -29,12 +29,13 @@ unpaired as (select example_id, 0 branch, split, prompt, chosen reply, 1 label f
 """
 
 VERDICTS = """
-raws as (select o_orderkey example_id, o_custkey,
-           case when o_orderkey % 7 < 2 then 'short. The answer is [[A]] and more [[B]]'
-                when o_orderkey % 7 < 4 then 'The answer is A? no. The answer is ' || chr(10) || ' [[B]] x'
-                when o_orderkey % 7 = 4 then 'The answer is [[C]]'
-                when o_orderkey % 7 = 5 then 'I prefer [[A]]. The answer is [[A]]'
-                else 'no verdict' end raw from orders),
+raws as (select doc_id example_id, length(text) turn, chr(10) || ' ' || text || chr(10) ||
+           case doc_id % 9 when 0 then ' The answer is [[A]]' when 1 then 'The answer is [[B]] ' || chr(9)
+                when 2 then 'The answer is [[C]]' when 3 then 'I prefer [[A]]. The answer is [[A]]'
+                when 4 then 'no verdict' when 5 then 'The answer is A? no. The answer is [[B]]'
+                when 6 then 'The answer is ' || chr(10) || chr(9) || ' [[A]] ' || chr(10)
+                when 7 then 'short. The answer is [[B]] and more [[A]]' else 'The answer is [[D]]' end
+           || chr(10) raw from documents),
 cuts as (select *, case when regexp_matches(raw, '\\[\\[[ABC]\\]\\]')
                         then regexp_extract(raw, '(?s)^(.*?\\[\\[[ABC]\\]\\])', 1) else raw end cut from raws),
 parsed as (select *,
@@ -42,8 +43,8 @@ parsed as (select *,
     regexp_extract(trim(list_last(string_split(cut, 'The answer is')), {strip}), '^\\[\\[(A|B|C)\\]\\]', 1) v1
   from cuts),
 judged as (select example_id,
-    case o_custkey % 3 when 0 then '{base}' when 1 then '{sft}' else '{kto}' end model_a,
-    case (o_custkey + 1) % 3 when 0 then '{base}' when 1 then '{sft}' else '{kto}' end model_b,
+    case turn % 3 when 0 then '{base}' when 1 then '{sft}' else '{kto}' end model_a,
+    case (turn + 1) % 3 when 0 then '{base}' when 1 then '{sft}' else '{kto}' end model_b,
     case v0 when '' then 'error' else v0 end verdict_uncut,
     case v1 when '' then 'error' else v1 end verdict,
     case v1 when 'A' then 0 when 'B' then 1 end winner from parsed)
@@ -121,7 +122,7 @@ COMPLETIONS = f"""
 comp as (select page_id ordinal, '{_BASE}' model, html text from pages
          union all select doc_id, '{_SFT}', text from documents
          union all select item_id, '{_KTO}', text from benchmark),
-prompts as (select doc_id ordinal, 'Describe ' || source || ' in ' || lang prompt from documents),
+prompts as (select doc_id ordinal, ' Describe ' || source || ':' || chr(10) || text || chr(9) prompt from documents),
 asked as (select a.ordinal, prompt, a.text answer_a, b.text answer_b
           from comp a join comp b using (ordinal) join prompts using (ordinal)
           where a.model = '{_BASE}' and b.model = '{_SFT}')
