@@ -198,6 +198,22 @@ def test_packing(spark):
     assert packing.pack_documents(spark, docs.limit(0)).count() == 0
 
 
+def test_words_give_the_ids_of_the_whole_text(spark, sf_dir):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, words = Tokenizer.from_file(path), packing.WordTokenizer(path, packing.PackingConfig(cached_words=500))
+    assert words.latin
+    rng = random.Random(1)
+    signs = "aZ'sS09.,!-_<|>#é\u00c9\u00df\u00d7\u00f7\u00ff\u0178\u0130\u03a3\u03c3\u0301\u00aa\u00b2\u00b5\u4e2d\U0001f600\u200d\x1c\x7f\x00\u00a0\u2003\u0085 "
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    texts += [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    for text in texts:
+        ids = np.frombuffer(words.ids(text), "<u4").tolist()
+        assert ids == encoder.encode(text, add_special_tokens=False).ids, text
+
+
 def test_hilbert_keys_step_to_neighbours():
     for n, bits in ((2, 4), (3, 3), (4, 2)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * n, indexing="ij"), -1).reshape(-1, n)

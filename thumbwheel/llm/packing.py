@@ -12,6 +12,7 @@ once, written, and cut when the positions are known.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -40,10 +41,16 @@ class PackingConfig:
     dimensions: int = 4
     bits: int = 10  # of each dimension of the curve
     seed: int = 11
-    cached_words: int = 200_000  # in either generation of a task's cache
+    cached_words: int = 500_000  # in either generation of a task's cache
     cache_below: int = 48  # bytes of a word worth keeping
 
 
+# Fixed value: how the vocabulary's rules cut a lower-cased word of Latin letters, digits and signs.
+WORD_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+LATIN_WORD = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PROBES = "Hello, it's Ünïcode's x1234,, don't!! ÉÀÇ naïve... 's a'b'll $$$ Straße <|x| (1,5%) l'été '' ÿ".split()
+
+
 class WordTokenizer:
     """Ids of whole texts, word by word.
 
@@ -52,41 +59,70 @@ class WordTokenizer:
     again. Words are kept in two generations of at most ``cached_words``: when
     the younger is full it becomes the older, and what is not asked for until
     the next change is forgotten.
+
+    A new word of Latin letters goes to the model piece by piece; any other, and
+    every word of a vocabulary that cuts the probes differently, takes the
+    tokenizer's whole way.
     """
 
     def __init__(self, path: str, cfg: PackingConfig):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
+        self.model = self.encoder.model
         self.limit, self.longest = cfg.cached_words, cfg.cache_below
-        self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.young = _Words(self)
+        letters = [chr(c) for c in range(0xC0, 0x100)]
+        stage = self.encoder.pre_tokenizer
+        self.letters = {ord(c): "".join(part for part, _ in stage.pre_tokenize_str(c)) for c in letters} if stage else {}
+        self.latin = bool(stage) and all(self._by_pieces(w) == self._whole(w) for w in PROBES)
+
+    def _whole(self, word: str) -> bytes:
+        return np.asarray(self.encoder.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _by_pieces(self, word: str) -> bytes:
+        out = []
+        for piece in WORD_PIECES.findall(word.lower()):
+            found = self.pieces.get(piece)
+            if found is None:
+                shown = piece if piece.isascii() else piece.translate(self.letters)
+                found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+                if len(self.pieces) >= self.limit:
+                    self.pieces.clear()
+                self.pieces[piece] = found
+            out.append(found)
+        return b"".join(out)
+
+    def encode(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        if self.latin and LATIN_WORD.fullmatch(text) and "<|" not in text:
+            return self._by_pieces(text)
+        return self._whole(text)
 
     def ids(self, text: str | None) -> bytes:
         """The ids as unsigned little-endian 32-bit numbers, without the end."""
-        words = split_words(text)
-        here = {}
-        missing = []
-        young, old = self.young, self.old
-        for w in dict.fromkeys(words):
-            found = young.get(w)
-            if found is None:
-                found = old.get(w)
-                if found is None:
-                    missing.append(w)
-                    continue
-                young[w] = found
-            here[w] = found
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            encoded = self.encoder.encode_batch_fast(
-                [w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False
-            )
-            here.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded))
-        young.update((w, here[w]) for w in missing if len(w) <= self.longest)
-        if len(young) > self.limit:
-            self.young, self.old = {}, young
-        return b"".join([here[w] for w in words])
+        packed = b"".join(map(self.young.__getitem__, split_words(text)))
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, _Words(self)
+        return packed
+
+
+class _Words(dict):
+    """The younger generation of a tokenizer's words; asks the older one, then the model."""
+
+    def __init__(self, owner: WordTokenizer):
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = dict.get(self.owner.old, word)
+        if found is None:
+            found = self.owner.encode(word)
+        if len(word) <= self.owner.longest:
+            self[word] = found
+        return found
 
 
 @cache
