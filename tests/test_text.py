@@ -82,3 +82,4 @@ def test_names(spark):
     labels = spark.createDataFrame([(0,), (1,), (2,)], "l int").select(X.label_name(F.col("l")).alias("n"))
     assert [r.n for r in labels.collect()] == ["BAD", "GOOD", None]
     assert [r[0] for r in labels.select(X.label_id(F.col("n"))).collect()] == [0, 1, None]
+# Verdict phrases and marks, and the layout of the judge prompt below.

@@ -120,10 +120,14 @@ def cut_at_stop(text: Column, stops: Sequence[str] = STOP_STRINGS) -> Column:
     return F.regexp_replace(text, f"(?s)({any_stop}).*", "$1")
 
 
+# Fixed value: the mark of a verdict.
+VERDICT_MARK = r"^\[\[(A|B|C)\]\]"
+
+
 def parse_verdict(text: Column, phrase: str = ANSWER_PHRASE) -> Column:
     """A, B or C if the stripped text after the last phrase starts with its mark, else ``error``."""
     tail = strip(F.substring_index(text, phrase, -1))
-    letter = F.regexp_extract(tail, r"^\[\[(A|B|C)\]\]", 1)
+    letter = F.regexp_extract(tail, VERDICT_MARK, 1)
     return F.coalesce(F.try_element_at(_constant_map({v: v for v in "ABC"}), letter), F.lit("error"))
 
 

@@ -170,6 +170,7 @@ def decode_ids(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), " ")
 
 
+# The column names of the report.
 def completions_report(
     prompts: DataFrame,
     rollouts: DataFrame,
