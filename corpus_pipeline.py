@@ -7,27 +7,44 @@ of ``documents``; the last returns where every token lies in the training sequen
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thumbwheel.llm.mixing import mix_documents
+from thumbwheel.llm.mixing import MixConfig, mix_documents
 from thumbwheel.llm.neardup import near_duplicates
 from thumbwheel.llm.packing import pack_documents
 from thumbwheel.llm.quality import quality_verdicts
 from thumbwheel.llm.queries import MIX_TARGETS, labelled_domains
 from thumbwheel.llm.substring import remove_repeats
 from thumbwheel.llm.words import table
-from thumbwheel.session import scratch_path
+from thumbwheel.session import ensure_work_folder, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage(fn: Stage) -> Stage:
+    """A stage may be called on its own: a single-machine session gets a work folder first."""
+
+    @wraps(fn)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ensure_work_folder(spark)
+        return fn(spark, docs, sf_dir)
 
+    return call
 
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep; null and empty texts go."""
     verdicts = quality_verdicts(docs, table(spark, sf_dir, "labels"), carry=COLUMNS[1:])
     return verdicts.where("kept").select(*COLUMNS)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, and one row of each document.
 
@@ -38,6 +55,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
+@stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that occur earlier.
 
@@ -50,15 +68,21 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@stage
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the fitted mixture wants it; without a doc_id, once."""
+    """Every document as many times as the fitted mixture wants it, and at least once.
+
+    Rows without a doc_id stay once.
+    """
     labelled = labelled_domains(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    copies = mix_documents(spark, docs, labelled, MIX_TARGETS).groupBy("doc_id").agg(F.max("copies").alias("copies"))
+    rates = mix_documents(spark, docs, labelled, MIX_TARGETS, MixConfig(least=1.0))
+    copies = rates.groupBy("doc_id").agg(F.max("copies").alias("copies"))
     wanted = docs.join(copies.where("doc_id is not null"), "doc_id", "left")
     times = F.array_repeat(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))
     return wanted.select(*COLUMNS, F.explode(times).alias("copy")).select(*COLUMNS)
 
 
+@stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in full sequences."""
     return pack_documents(spark, docs)
@@ -78,9 +102,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read by the next."""
+    ensure_work_folder(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, step in STAGES:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -68,3 +68,25 @@ def test_pipeline(spark, sf_dir):
     assert set(after.doc_id) == set(before.doc_id)
     sizes = after.groupby("sequence_id").length.sum().sort_index()
     assert (sizes.iloc[:-1] == 2048).all()
+
+
+def test_pipeline_over_odd_rows(spark):
+    """Nulls, empty and repeated rows go through every stage; an empty table stays empty."""
+    folder = corpus_pipeline.scratch_path(spark, "odd")
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, "en", "s", 3), (1, text, "en", "s", 3), (2, text + " more", "de", None, None),
+            (3, None, None, "s", None), (4, "", "en", "s", 0), (None, "other " * 3 + text[::-1], None, None, None),
+            (None, text.upper(), "en", "s", 1), (5, "\n".join(f"line {i} of many" for i in range(9)), "fr", "t", 9)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, 1, 0) for i in (1, 2, 5)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    docs, seen = spark.read.parquet(f"{folder}/documents.parquet"), []
+    empty = docs.limit(0)
+    for name, step in corpus_pipeline.STAGES:
+        seen.append(sorted((r.doc_id or 0) for r in step(spark, docs, folder).select("doc_id").collect()))
+        out = corpus_pipeline.scratch_path(spark, "odd-stage")
+        step(spark, docs, folder).write.parquet(out)
+        docs = spark.read.parquet(out)
+        assert step(spark, empty, folder).count() == 0
+    assert seen[0] == [0, 0, 1, 1, 2, 5] and seen[1] == [0, 0, 1, 5]
+    assert seen[2] == [0, 0, 1, 5] and set(seen[3]) == {0, 1, 5} == set(seen[4])

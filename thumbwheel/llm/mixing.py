@@ -29,6 +29,7 @@ class MixConfig:
     steps: int = 60
     unwritten: int = 6  # steps between two writes of the rates
     tolerance: float = 0.002  # of a domain's target
+    least: float = 0.0  # rate of any document; 1 keeps all of them in the mixture
     headroom: float = 1.01  # of the budget, so that no rate falls below 1 by rounding
     seed: int = 17
 
@@ -126,8 +127,9 @@ def fit_rates(posteriors: DataFrame, targets: list[float], cfg: MixConfig, scrat
     """``posteriors`` with a ``rate`` for every document.
 
     The budget is the least number of tokens with which the mixture needs to
-    thin out no domain, so rates below 1 come from shared membership only. Minimises the
-    squared misses of all domains, each in units of its own curvature.
+    thin out no domain, so rates below 1 come from shared membership only; rates
+    are projected on ``cfg.least`` and more. Minimises the squared misses of all
+    domains, each in units of its own curvature.
     """
     k = range(len(targets))
     tokens = F.col("n_tokens")
@@ -152,7 +154,7 @@ def fit_rates(posteriors: DataFrame, targets: list[float], cfg: MixConfig, scrat
         if all(abs(m) <= cfg.tolerance * max(w, 1e-9) for m, w in zip(miss, wanted)):
             break
         down = sum((F.col(f"p_{i}") * (step * miss[i] / curve[i]) for i in k), F.lit(0.0))
-        current = current.withColumn("rate", F.greatest(F.col("rate") - down, F.lit(0.0)))
+        current = current.withColumn("rate", F.greatest(F.col("rate") - down, F.lit(cfg.least)))
         pending.append(turn)
         if len(pending) == cfg.unwritten:
             name = f"rates-{turn}"
