@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thumbwheel.llm.mixing import MixConfig, mix_documents
-from thumbwheel.llm.neardup import near_duplicates
+from thumbwheel.llm.neardup import SketchConfig, near_duplicates
 from thumbwheel.llm.packing import pack_documents
 from thumbwheel.llm.quality import quality_verdicts
 from thumbwheel.llm.queries import MIX_TARGETS, labelled_domains
@@ -22,6 +22,8 @@ from thumbwheel.llm.substring import remove_repeats
 from thumbwheel.llm.words import table
 from thumbwheel.session import ensure_work_folder, scratch_path
 
+#: Near copies share 80 % of their five-word shingles; 34 bands of 5 registers miss a pair at 80 % once in 700,000.
+NEAR = SketchConfig(percent=80, bands=34, rows=5)
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -50,7 +52,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without a doc_id belong to no group and all stay.
     """
-    kept = near_duplicates(spark, docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(spark, docs, NEAR).where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
