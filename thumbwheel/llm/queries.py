@@ -144,7 +144,7 @@ def op9_html_extraction(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def op10_license_scan(spark: SparkSession, d: str) -> DataFrame:
-    return licenses.scan_licences(table(spark, d, "documents"))
+    return licenses.scan_licences(table(spark, d, "documents")).drop("last_line")
 
 
 ORACLE["op10_license_scan"] = licenses.oracle()
