@@ -12,10 +12,13 @@ from thumbwheel.llm.html_text import extract_pages
 from thumbwheel.llm.mixing import mix_documents
 from thumbwheel.llm.neardup import near_duplicates
 from thumbwheel.llm.packing import pack_documents
+from thumbwheel.llm.phrases import mine_phrases
 from thumbwheel.llm.quality import quality_verdicts
 from thumbwheel.llm.substring import remove_repeats
 from thumbwheel.llm.toxicity import classify_toxicity
+from thumbwheel.llm.urls import UrlRule, domain_rule, filter_urls
 from thumbwheel.llm.warc import read_archives, write_archives
+from thumbwheel.llm.whitening import whiten
 from thumbwheel.llm.words import table
 from thumbwheel.session import scratch_path
 
@@ -148,3 +151,93 @@ def op10_license_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORACLE["op10_license_scan"] = licenses.oracle()
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    white = whiten(spark, table(spark, d, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+# The rules for hosts and paths.
+DOMAIN_RULES = [
+    domain_rule("block", "net"),
+    domain_rule("allow", "example.net", "/en/"),
+    domain_rule("block", "example.com", "/de/"),
+    domain_rule("allow", "org", "/fr/"),
+]
+
+#: Patterns for what the rules above leave open; everything else is allowed.
+URL_PATTERNS = [
+    *(UrlRule(p, "block") for p in (
+        "||adult-", "||xxx.", "||casino.", "||casino-", "||ads.", "||adserver.", "||tracker.", "/ads/", "/banner/",
+        "/adult/", "/casino/", "/login^", "/signup^", "/cart^", "/checkout^", "/wp-admin/", "/cgi-bin/",
+        "/search?*q=", ".exe^", ".apk^", "*sessionid=", "/tag/*/page/",
+    )),
+    *(UrlRule(p, "allow") for p in ("/wiki/login^", "||archive.*/search?*q=")),
+]
+
+
+@query
+def op12_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    return filter_urls(spark, table(spark, d, "pages"), [*DOMAIN_RULES, *URL_PATTERNS])
+
+
+def _pattern_sql() -> str:
+    """The longest pattern that fits, and its action, as one CASE over all patterns."""
+    ordered = sorted(URL_PATTERNS, key=lambda r: r.rank, reverse=True)
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    # RE2 has no lookahead; its $ is the end of the text.
+    fits = [f"when regexp_matches(target, {quoted(r.regex.replace('(?![\\s\\S])', '$'))})" for r in ordered]
+    one = lambda of: "case " + " ".join(f"{w} then {quoted(of(r))}" for w, r in zip(fits, ordered)) + " end"
+    return f"{one(lambda r: r.pattern)} pattern, {one(lambda r: r.action)} action"
+
+
+ORACLE["op12_url_filter"] = rf"""
+    with parts as (select page_id,
+            translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz') host,
+            coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') path,
+            coalesce(regexp_extract(url, '://[^?#]*(\?[^#]*)', 1), '') query from pages),
+    named as (select *, host || path || query target, case
+            when ('.' || host) like '%.example.net' and starts_with(path, '/en/') then 'example.net/en/'
+            when ('.' || host) like '%.example.com' and starts_with(path, '/de/') then 'example.com/de/'
+            when ('.' || host) like '%.org' and starts_with(path, '/fr/') then 'org/fr/'
+            when ('.' || host) like '%.net' and starts_with(path, '/') then 'net/' end rule from parts),
+    judged as (select *, {_pattern_sql()} from named)
+    select page_id, host, path, rule, case when rule is null then pattern end pattern,
+           case when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
+                else coalesce(action, 'allow') end verdict
+    from judged
+"""
+
+
+@query
+def op13_phrase_mining(spark: SparkSession, d: str) -> DataFrame:
+    return mine_phrases(spark, table(spark, d, "documents")).drop("first_doc", "first_word")
+
+
+ORACLE["op13_phrase_mining"] = r"""
+    with pieces as (select coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) p from documents),
+    worded as (select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') w from pieces),
+    totals as (select lang, sum(len(w))::bigint n from worded group by 1),
+    grams as (select lang, w, k, unnest(range(1, len(w) - k + 2)) i from worded, (select unnest(range(1, 6)) k)),
+    counts as (select lang, array_to_string(w[i:i + k - 1], ' ') phrase, k, count(*) a from grams
+               group by 1, 2, 3 having count(*) >= 100),
+    parts as (select *, string_split(phrase, ' ') w from counts where k > 1),
+    cuts as (select *, unnest(range(1, k)) c from parts),
+    sides as (select s.lang, s.phrase, s.k, s.a, c, l.a l, r.a r, n,
+                     ((1000::hugeint * s.a * n) // (l.a::hugeint * r.a))::bigint score
+              from cuts s join totals using (lang)
+              join counts l on l.lang = s.lang and l.phrase = array_to_string(s.w[1:c], ' ')
+              join counts r on r.lang = s.lang and r.phrase = array_to_string(s.w[c + 1:s.k], ' ')),
+    best as (select *, row_number() over (partition by lang, phrase order by score, c) nth from sides),
+    spans as (select lang, a, w, k, m, unnest(range(1, k - m + 2)) i
+              from parts, (select unnest(range(2, 5)) m) where m < k),
+    longer as (select lang, array_to_string(w[i:i + m - 1], ' ') phrase, max(a) longer from spans group by 1, 2),
+    kept as (select b.* from best b left join longer o using (lang, phrase)
+             where nth = 1 and (longer is null or 100 * longer < 100 * a)),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) rank from kept)
+    select lang, rank, phrase, a, l, r, n, score, k words from ranked where rank <= 2000
+"""
