@@ -46,7 +46,7 @@ class PhraseConfig:
     absorbed: int = 100  # percent of a phrase's count that a longer one needs to replace it
     top: int = 2000
     bitmap_bits: int = 26  # slots of the bitmap of frequent fingerprints
-    chunk: int = 4_000_000  # words that a task lays out at a time
+    chunk: int = 1_000_000  # words that a task lays out at a time
     pieces: int = 32  # of a language, for ranking
     unknown: str = "und"
 
