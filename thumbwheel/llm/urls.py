@@ -95,13 +95,14 @@ def url_tokens(target: str) -> set[str]:
     return set(TOKEN.findall(target.translate(TO_LOWER)))
 
 
-def token_counts(urls: DataFrame, wanted: DataFrame) -> DataFrame:
+def token_counts(urls: DataFrame, wanted: Sequence[str], cfg: UrlConfig) -> DataFrame:
     """``token, n``: how many rows of ``urls`` (``target``) have each of the ``wanted`` tokens."""
     words = F.array_distinct(F.regexp_extract_all(F.translate("target", UPPER, LOWER), F.lit("([a-z0-9]+)")))
-    return (
-        urls.select(F.explode(words).alias("token")).join(wanted, "token", "left_semi").groupBy("token")
-        .agg(F.count("*").alias("n"))
-    )
+    tokens = urls.select(F.explode(words).alias("token"))
+    listed = urls.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
+    if sum(map(len, wanted)) <= cfg.broadcast_bytes:
+        return tokens.join(F.broadcast(listed), "token").groupBy("token").agg(F.count("*").alias("n"))
+    return tokens.groupBy("token").agg(F.count("*").alias("n")).join(listed, "token", "left_semi")
 
 
 def filed_rules(rules: Sequence[UrlRule], counts: Mapping[str, int]) -> list[tuple[str | None, UrlRule]]:
@@ -220,9 +221,8 @@ def filter_urls(
     wanted = sorted({t for r in rules for t in r.tokens})
     counts: dict[str, int] = {}
     if wanted:
-        listed = spark.createDataFrame([(t,) for t in wanted], "token string")
         # At most one row per token of the rules.
-        counts = dict(map(tuple, token_counts(parted, listed).collect()))
+        counts = dict(map(tuple, token_counts(parted, wanted, cfg).collect()))
     filed = filed_rules(rules, counts)
     size = sum(len(r.regex) + len(r.pattern) for r in rules)
     judge = judge_in_tasks if size <= cfg.broadcast_bytes else judge_by_join
