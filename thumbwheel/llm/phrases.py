@@ -2,13 +2,14 @@
 
 Prefix polynomials over the word hashes of a batch of texts give the fingerprint
 of every n-gram by one subtraction and one multiplication. A task counts equal
-fingerprints and the shuffle adds the counts up. Fingerprints can only merge
+fingerprints, comparing their words with those of the first occurrence, and the shuffle
+adds the counts up and keeps a pointer to one occurrence. Fingerprints can only merge
 phrases, so what stays below the least count is not frequent; the others are marked in a
 bitmap of fixed size, and longer n-grams are looked at only where all the shorter ones
-they are made of are marked. In a last reading the words behind every marked fingerprint are
-compared with those of its first occurrence in the batch, so phrases that share a
-fingerprint part, and the phrases, with their counts and the pointer to their
-first occurrence, meet as text: counts are exact, whatever the hashes do.
+they are made of are marked. Frequent phrases alone become text: their pointers' documents
+are read, the words found there are hashed again and have to give the fingerprint and a
+second, independent hash that all occurrences agreed in. Fingerprints that several phrases share
+are counted anew by their text, so a collision changes no count.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thumbwheel.llm.store import Scratch
@@ -42,11 +43,13 @@ TABLE = bytes(
 @dataclass(frozen=True)
 class PhraseConfig:
     longest: int = 5
+    print_bits: int = 64  # of a fingerprint
     least: int = 100  # occurrences of a phrase
     absorbed: int = 100  # percent of a phrase's count that a longer one needs to replace it
     top: int = 2000
     bitmap_bits: int = 26  # slots of the bitmap of frequent fingerprints
     chunk: int = 1_000_000  # words that a task lays out at a time
+    slot_bits: int = 20  # hash slots of the documents that pointers lead to
     pieces: int = 32  # of a language, for ranking
     unknown: str = "und"
 
@@ -54,7 +57,9 @@ class PhraseConfig:
 class Words:
     """The words of some texts laid out one behind the other."""
 
-    def __init__(self, texts: list[bytes | None], langs: list[str], docs: list[int | None], cfg: PhraseConfig):
+    def __init__(
+        self, texts: list[bytes | None], langs: list[str], docs: list[int | None], refs: np.ndarray, cfg: PhraseConfig
+    ):
         rows = [(t.translate(TABLE).replace(END, b" \xff ") if t else b"").split() for t in texts]
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         flat = pa.array([w for r in rows for w in r], pa.binary()).dictionary_encode()
@@ -72,11 +77,12 @@ class Words:
         piece = (np.cumsum(ends) + row)[~ends]
         self.ids, self.row, self.piece = ids[~ends], row[~ends], piece
         self.lang = np.array([known[x] for x in langs], np.int32)[self.row]
-        self.docs = docs
+        self.docs, self.refs, self.mask = docs, refs, U64((1 << cfg.print_bits) - 1)
         starts = np.searchsorted(self.row, np.arange(len(sizes)))
         self.place = np.arange(len(self.ids)) - starts[self.row]
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.vocabulary], U64)
         seeds = np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"), seed=1) for x in self.langs], U64)
+        self.other = np.array([xxhash.xxh3_64_intdigest(w, seed=2) for w in self.vocabulary], U64)
         self.word = hashes[self.ids] if len(self.ids) else np.zeros(0, U64)
         self.seed = seeds[self.lang] if len(self.ids) else np.zeros(0, U64)
         n = len(self.ids)
@@ -98,7 +104,14 @@ class Words:
     def prints(self, at: np.ndarray, n: int) -> np.ndarray:
         """Fingerprints of the ``n`` words and the language from each place in ``at``."""
         window = (self.prefix[at + n] - self.prefix[at]) * self.shift[at]
-        return mix((window + self.seed[at]) ^ (LENGTH_SALT * U64(n)))
+        return mix((window + self.seed[at]) ^ U64(int(LENGTH_SALT) * n % (1 << 64))) & self.mask
+
+    def seconds(self, at: np.ndarray, n: int) -> np.ndarray:
+        """An independent hash of the same words and language."""
+        total = mix(self.seed[at] + U64(n))
+        for i in range(n):
+            total = mix(total ^ self.other[self.ids[at + i]])
+        return total
 
     def groups(self, at: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Fingerprint, first occurrence and count of every distinct phrase among those at ``at``.
@@ -121,21 +134,24 @@ class Words:
 def _chunks(batches: Iterator[pa.RecordBatch], cfg: PhraseConfig) -> Iterator[Words]:
     """Texts laid out, about ``chunk`` words (at six bytes) at a time; a text is never divided."""
     for batch in batches:
-        docs, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        docs, langs, refs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_numpy()
         texts = batch.column(2)
         sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1])
         part = np.cumsum(sizes.astype(np.int64)) // (6 * cfg.chunk)
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
         for a, b in zip(edges, edges[1:]):
             if b > a:
-                yield Words(texts[a:b].to_pylist(), langs[a:b], docs[a:b], cfg)
+                yield Words(texts[a:b].to_pylist(), langs[a:b], docs[a:b], refs[a:b], cfg)
 
 
 def _texts(docs: DataFrame, cfg: PhraseConfig) -> DataFrame:
+    """``ref`` is where a pointer leads: the document, or the text of a row that names none."""
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        doc_id.alias("doc_id"),
         F.coalesce("lang", F.lit(cfg.unknown)).alias("lang"),
-        F.coalesce("text", F.lit("")).cast("binary").alias("text"),
+        text.cast("binary").alias("text"),
+        F.coalesce(doc_id, F.xxhash64(text)).alias("ref"),
     )
 
 
@@ -161,19 +177,33 @@ class Bitmap:
         return (self.marks[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
 
 
+def _counts() -> list[Column]:
+    """The count of a fingerprint, the second hashes that its occurrences lie between, and its pointer."""
+    return [
+        F.sum("n").alias("n"), F.min("second").alias("second"), F.max("second").alias("last_second"),
+        F.min("ref").alias("ref"),
+    ]
+
+
+def _counted(words: Words, prints: np.ndarray, first: np.ndarray, n: np.ndarray, length: int) -> list[pa.Array]:
+    """Fingerprint, count, second hash and pointer of distinct phrases."""
+    refs = words.refs[words.row[first]]
+    return [pa.array(x) for x in (signed(prints), n.astype(np.int64), signed(words.seconds(first, length)), refs)]
+
+
 def word_counts(texts: DataFrame, cfg: PhraseConfig) -> DataFrame:
-    """``lang, print, n`` of single words, counted in the tasks first."""
+    """``lang, print`` and the counts of single words, counted in the tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _chunks(batches, cfg):
             for prints, first, n in words.groups(np.arange(len(words)), 1):
                 langs = pa.DictionaryArray.from_arrays(pa.array(words.lang[first]), pa.array(words.langs, pa.string()))
                 yield pa.RecordBatch.from_arrays(
-                    [langs.cast(pa.string()), pa.array(signed(prints)), pa.array(n.astype(np.int64))], ["lang", "print", "n"]
+                    [langs.cast(pa.string()), *_counted(words, prints, first, n, 1)], ["lang", "print", "n", "second", "ref"]
                 )
 
-    counted = texts.mapInArrow(count, "lang string, print long, n long")
-    return counted.groupBy("lang", "print").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "lang string, print long, n long, second long, ref long")
+    return counted.groupBy("lang", "print").agg(*_counts())
 
 
 def _possible(words: Words, n: int, shorter: Bitmap, width: int) -> np.ndarray:
@@ -188,54 +218,85 @@ def _possible(words: Words, n: int, shorter: Bitmap, width: int) -> np.ndarray:
 
 
 def phrase_counts(texts: DataFrame, lengths: range, shorter: Bitmap, width: int, cfg: PhraseConfig) -> DataFrame:
-    """``print, n`` of n-grams of the given ``lengths`` all of whose runs of ``width`` words are marked."""
+    """``print`` and the counts of n-grams of the given ``lengths`` all of whose runs of ``width`` words are marked."""
     shared = texts.sparkSession.sparkContext.broadcast(shorter)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _chunks(batches, cfg):
             for length in lengths:
-                prints, n = np.unique(
-                    words.prints(_possible(words, length, shared.value, width), length), return_counts=True
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(prints)), pa.array(n.astype(np.int64))], ["print", "n"]
-                )
+                for prints, first, n in words.groups(_possible(words, length, shared.value, width), length):
+                    yield pa.RecordBatch.from_arrays(
+                        _counted(words, prints, first, n, length), ["print", "n", "second", "ref"]
+                    )
+
+    return texts.mapInArrow(count, "print long, n long, second long, ref long").groupBy("print").agg(*_counts())
 
-    return texts.mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
 
+PHRASE = "lang string, phrase string, words int, n long, doc_id long, place long, print long, second long"
 
-def phrases_of(texts: DataFrame, marked: dict[int, Bitmap], cfg: PhraseConfig) -> DataFrame:
-    """``lang, phrase, words, a, first`` of phrases with ``least`` occurrences, counted by their text.
 
-    ``first`` points to the first occurrence: document and word in it.
+def _as_text(words: Words, first: np.ndarray, n: np.ndarray, length: int) -> pa.RecordBatch:
+    """The phrases of ``length`` words at ``first`` in the columns of ``PHRASE``."""
+    ids = words.ids[first[:, None] + np.arange(length)].tolist()
+    text = [b" ".join([words.vocabulary[i] for i in row]) for row in ids]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([words.langs[i] for i in words.lang[first]], pa.string()),
+            pa.array(text, pa.binary()).cast(pa.string()),
+            pa.array([length] * len(first), pa.int32()), pa.array(n.astype(np.int64)),
+            pa.array([words.docs[i] for i in words.row[first]], pa.int64()), pa.array(words.place[first]),
+            pa.array(signed(words.prints(first, length))), pa.array(signed(words.seconds(first, length))),
+        ],
+        [c.split()[0] for c in PHRASE.split(", ")],
+    )
+
+
+def phrases_at_pointers(texts: DataFrame, found: DataFrame, cfg: PhraseConfig) -> DataFrame:
+    """``lang, phrase, words, a, first``: the text of every fingerprint in ``found``, read where its pointer leads.
+
+    Hash slots of the pointers, at most 2 ** slot_bits whatever their number, go ahead and
+    spare the other texts the shuffle. A document's list is no longer than its n-grams.
     """
+    slot = F.pmod(F.xxhash64("ref"), F.lit(1 << cfg.slot_bits)).alias("slot")
+    near = texts.select("*", slot).join(F.broadcast(found.select(slot).distinct()), "slot", "left_semi")
+    lists = found.groupBy("ref").agg(F.collect_list("print").alias("prints"))
+    wanted = near.join(lists, "ref").select("doc_id", "lang", "text", "ref", "prints")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                doc, lang, text, ref = (batch.column(c)[i].as_py() for c in range(4))
+                words = Words([text], [lang], [doc], np.array([ref]), cfg)
+                prints = batch.column(4)[i].values.to_numpy().view(U64)
+                for length in range(1, cfg.longest + 1):
+                    at = words.starts(length)
+                    at = at[np.isin(words.prints(at, length), prints)]
+                    for _, first, n in words.groups(at, length):
+                        yield _as_text(words, first, n, length)
+
+    # Rows that share a document's id may each have the phrase.
+    once = wanted.mapInArrow(read, PHRASE).groupBy("lang", "phrase", "words", "print", "second").agg(
+        F.min(F.struct("doc_id", "place")).alias("first")
+    )
+    return once.join(found.select("print", "second", F.col("n").alias("a")), ["print", "second"]).select(
+        "lang", "phrase", "words", "a", "first"
+    )
+
+
+def phrases_by_text(texts: DataFrame, marked: Bitmap, cfg: PhraseConfig) -> DataFrame:
+    """The same columns for the phrases whose fingerprints are marked, all occurrences counted by their text."""
     shared = texts.sparkSession.sparkContext.broadcast(marked)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _chunks(batches, cfg):
-            for length, bitmap in shared.value.items():
-                if length == 1:
-                    at = np.arange(len(words))
-                    at = at[bitmap.has(words.prints(at, 1))]
-                else:
-                    at = _possible(words, length, bitmap, length)
+            for length in range(1, cfg.longest + 1):
+                at = words.starts(length)
+                at = at[shared.value.has(words.prints(at, length))]
                 for _, first, n in words.groups(at, length):
-                    ids = words.ids[first[:, None] + np.arange(length)].tolist()
-                    text = [b" ".join([words.vocabulary[i] for i in row]) for row in ids]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([words.langs[i] for i in words.lang[first]], pa.string()),
-                            pa.array(text, pa.binary()).cast(pa.string()),
-                            pa.array([length] * len(n), pa.int32()), pa.array(n.astype(np.int64)),
-                            pa.array([words.docs[i] for i in words.row[first]], pa.int64()),
-                            pa.array(words.place[first]),
-                        ],
-                        ["lang", "phrase", "words", "n", "doc_id", "place"],
-                    )
+                    yield _as_text(words, first, n, length)
 
-    found = texts.mapInArrow(find, "lang string, phrase string, words int, n long, doc_id long, place long")
     return (
-        found.groupBy("lang", "phrase", "words")
+        texts.mapInArrow(find, PHRASE).groupBy("lang", "phrase", "words", "print")
         .agg(F.sum("n").alias("a"), F.min(F.struct("doc_id", "place")).alias("first"))
         .where(F.col("a") >= cfg.least)
     )
@@ -246,16 +307,24 @@ def frequent_phrases(texts: DataFrame, cfg: PhraseConfig, scratch: Scratch) -> t
     enough = F.col("n") >= cfg.least
     words = scratch.keep(word_counts(texts, cfg), "words")
     totals = scratch.keep(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    marked = {1: Bitmap.of(words.where(enough), cfg.bitmap_bits)}
+    found = scratch.keep(words.where(enough).drop("lang"), "found-1")
     scratch.drop("words")
-    if cfg.longest >= 2:
-        pairs = phrase_counts(texts, range(2, 3), marked[1], 1, cfg)
-        marked[2] = Bitmap.of(pairs.where(enough), cfg.bitmap_bits)
-    if cfg.longest >= 3:
-        longer = phrase_counts(texts, range(3, cfg.longest + 1), marked[2], 2, cfg)
-        bitmap = Bitmap.of(longer.where(enough), cfg.bitmap_bits)
-        marked |= {n: bitmap for n in range(3, cfg.longest + 1)}
-    return scratch.keep(phrases_of(texts, marked, cfg), "phrases"), totals
+    for length, lengths in ((2, range(2, 3)), (3, range(3, cfg.longest + 1))):
+        if length <= cfg.longest:
+            shorter = Bitmap.of(found if length == 2 else longer, cfg.bitmap_bits)
+            counts = phrase_counts(texts, lengths, shorter, length - 1, cfg)
+            longer = scratch.keep(counts.where(enough), f"found-{length}")
+            found = found.unionByName(longer)
+    alike = F.col("second") == F.col("last_second")
+    phrases = phrases_at_pointers(texts, found.where(alike), cfg)
+    shared = found.where(~alike)
+    if not shared.isEmpty():
+        again = phrases_by_text(texts, Bitmap.of(shared, cfg.bitmap_bits), cfg)
+        again = again.join(shared.select("print").distinct(), "print", "left_semi")
+        # A fingerprint may be shared in one language or length only; its other phrases come both ways, with one count.
+        both = phrases.unionByName(again.select("lang", "phrase", "words", "a", "first"))
+        phrases = both.groupBy("lang", "phrase", "words").agg(F.max("a").alias("a"), F.min("first").alias("first"))
+    return scratch.keep(phrases, "phrases"), totals
 
 
 def scored_phrases(phrases: DataFrame, totals: DataFrame, cfg: PhraseConfig) -> DataFrame:
