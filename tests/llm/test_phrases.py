@@ -79,7 +79,7 @@ def test_occurrences_that_share_a_fingerprint_part_in_their_batch():
 
 
 @pytest.mark.parametrize("bits", [2, 5, 9])
-def test_shared_fingerprints_are_counted_by_text(spark, bits):
+def test_phrases_that_share_a_fingerprint_are_told_apart(spark, bits):
     rows, cfg = corpus(), PhraseConfig(least=4, bitmap_bits=8, print_bits=bits)
     assert mined(spark, rows, cfg) == plain(rows, cfg)
 

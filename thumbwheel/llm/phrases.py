@@ -7,9 +7,9 @@ adds the counts up and keeps a pointer to one occurrence. Fingerprints can only
 phrases, so what stays below the least count is not frequent; the others are marked in a
 bitmap of fixed size, and longer n-grams are looked at only where all the shorter ones
 they are made of are marked. Frequent phrases alone become text: their pointers' documents
-are read, the words found there are hashed again and have to give the fingerprint and a
-second, independent hash that all occurrences agreed in. Fingerprints that several phrases share
-are counted anew by their text, so a collision changes no count.
+are read and the words found there hashed again. Phrases that share a fingerprint are told
+apart by their words inside a task and by a second, independent hash between tasks, so
+that a collision changes no count.
 """
 
 from __future__ import annotations
@@ -177,12 +177,13 @@ class Bitmap:
         return (self.marks[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
 
 
-def _counts() -> list[Column]:
-    """The count of a fingerprint, the second hashes that its occurrences lie between, and its pointer."""
-    return [
-        F.sum("n").alias("n"), F.min("second").alias("second"), F.max("second").alias("last_second"),
-        F.min("ref").alias("ref"),
-    ]
+#: What tells phrases apart: the fingerprint and a second, independent hash of the same words.
+KEY = ["print", "second"]
+
+
+def _summed(counted: DataFrame, *keys: str) -> DataFrame:
+    """The count of every phrase and a pointer to one occurrence."""
+    return counted.groupBy(*keys, *KEY).agg(F.sum("n").alias("n"), F.min("ref").alias("ref"))
 
 
 def _counted(words: Words, prints: np.ndarray, first: np.ndarray, n: np.ndarray, length: int) -> list[pa.Array]:
@@ -203,7 +204,7 @@ def word_counts(texts: DataFrame, cfg: PhraseConfig) -> DataFrame:
                 )
 
     counted = texts.mapInArrow(count, "lang string, print long, n long, second long, ref long")
-    return counted.groupBy("lang", "print").agg(*_counts())
+    return _summed(counted, "lang")
 
 
 def _possible(words: Words, n: int, shorter: Bitmap, width: int) -> np.ndarray:
@@ -229,13 +230,13 @@ def phrase_counts(texts: DataFrame, lengths: range, shorter: Bitmap, width: int,
                         _counted(words, prints, first, n, length), ["print", "n", "second", "ref"]
                     )
 
-    return texts.mapInArrow(count, "print long, n long, second long, ref long").groupBy("print").agg(*_counts())
+    return _summed(texts.mapInArrow(count, "print long, n long, second long, ref long"))
 
 
-PHRASE = "lang string, phrase string, words int, n long, doc_id long, place long, print long, second long"
+PHRASE = "lang string, phrase string, words int, doc_id long, place long, print long, second long"
 
 
-def _as_text(words: Words, first: np.ndarray, n: np.ndarray, length: int) -> pa.RecordBatch:
+def _as_text(words: Words, first: np.ndarray, length: int) -> pa.RecordBatch:
     """The phrases of ``length`` words at ``first`` in the columns of ``PHRASE``."""
     ids = words.ids[first[:, None] + np.arange(length)].tolist()
     text = [b" ".join([words.vocabulary[i] for i in row]) for row in ids]
@@ -243,7 +244,7 @@ def _as_text(words: Words, first: np.ndarray, n: np.ndarray, length: int) -> pa.
         [
             pa.array([words.langs[i] for i in words.lang[first]], pa.string()),
             pa.array(text, pa.binary()).cast(pa.string()),
-            pa.array([length] * len(first), pa.int32()), pa.array(n.astype(np.int64)),
+            pa.array([length] * len(first), pa.int32()),
             pa.array([words.docs[i] for i in words.row[first]], pa.int64()), pa.array(words.place[first]),
             pa.array(signed(words.prints(first, length))), pa.array(signed(words.seconds(first, length))),
         ],
@@ -271,35 +272,15 @@ def phrases_at_pointers(texts: DataFrame, found: DataFrame, cfg: PhraseConfig) -
                 for length in range(1, cfg.longest + 1):
                     at = words.starts(length)
                     at = at[np.isin(words.prints(at, length), prints)]
-                    for _, first, n in words.groups(at, length):
-                        yield _as_text(words, first, n, length)
+                    for _, first, _ in words.groups(at, length):
+                        yield _as_text(words, first, length)
 
     # Rows that share a document's id may each have the phrase.
-    once = wanted.mapInArrow(read, PHRASE).groupBy("lang", "phrase", "words", "print", "second").agg(
+    once = wanted.mapInArrow(read, PHRASE).groupBy("lang", "phrase", "words", *KEY).agg(
         F.min(F.struct("doc_id", "place")).alias("first")
     )
-    return once.join(found.select("print", "second", F.col("n").alias("a")), ["print", "second"]).select(
-        "lang", "phrase", "words", "a", "first"
-    )
-
-
-def phrases_by_text(texts: DataFrame, marked: Bitmap, cfg: PhraseConfig) -> DataFrame:
-    """The same columns for the phrases whose fingerprints are marked, all occurrences counted by their text."""
-    shared = texts.sparkSession.sparkContext.broadcast(marked)
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words in _chunks(batches, cfg):
-            for length in range(1, cfg.longest + 1):
-                at = words.starts(length)
-                at = at[shared.value.has(words.prints(at, length))]
-                for _, first, n in words.groups(at, length):
-                    yield _as_text(words, first, n, length)
-
-    return (
-        texts.mapInArrow(find, PHRASE).groupBy("lang", "phrase", "words", "print")
-        .agg(F.sum("n").alias("a"), F.min(F.struct("doc_id", "place")).alias("first"))
-        .where(F.col("a") >= cfg.least)
-    )
+    # What is read there has to give both hashes again.
+    return once.join(found.select(*KEY, F.col("n").alias("a")), KEY).select("lang", "phrase", "words", "a", "first")
 
 
 def frequent_phrases(texts: DataFrame, cfg: PhraseConfig, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -315,16 +296,7 @@ def frequent_phrases(texts: DataFrame, cfg: PhraseConfig, scratch: Scratch) -> t
             counts = phrase_counts(texts, lengths, shorter, length - 1, cfg)
             longer = scratch.keep(counts.where(enough), f"found-{length}")
             found = found.unionByName(longer)
-    alike = F.col("second") == F.col("last_second")
-    phrases = phrases_at_pointers(texts, found.where(alike), cfg)
-    shared = found.where(~alike)
-    if not shared.isEmpty():
-        again = phrases_by_text(texts, Bitmap.of(shared, cfg.bitmap_bits), cfg)
-        again = again.join(shared.select("print").distinct(), "print", "left_semi")
-        # A fingerprint may be shared in one language or length only; its other phrases come both ways, with one count.
-        both = phrases.unionByName(again.select("lang", "phrase", "words", "a", "first"))
-        phrases = both.groupBy("lang", "phrase", "words").agg(F.max("a").alias("a"), F.min("first").alias("first"))
-    return scratch.keep(phrases, "phrases"), totals
+    return scratch.keep(phrases_at_pointers(texts, found, cfg), "phrases"), totals
 
 
 def scored_phrases(phrases: DataFrame, totals: DataFrame, cfg: PhraseConfig) -> DataFrame:
