@@ -4,7 +4,8 @@ A page becomes a tree of its block elements; inline markup belongs to the block
 around it. Every node gets its characters per tag, lowered where much of the
 text is links, and the node whose children's densities add up to most is the
 centre of the article. The lowest density on the way from there to the body is
-the threshold that other subtrees must reach to count as content.
+the threshold that other subtrees must reach to count as content; ``article``
+and ``main`` elements are held back where they fall below it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -101,6 +103,8 @@ def parse(source: str) -> Page:
     """A forgiving parse: missing end tags, stray end tags and cut-off pages are all fine."""
     page = Page()
     stack: list[tuple[str, int]] = [("#document", 0)]  # open elements with their block
+    # How often each element is open: what is not open is not looked for, however deep the stack.
+    opened: Counter[str] = Counter()
     links = 0
     at = 0
 
@@ -113,6 +117,7 @@ def parse(source: str) -> Page:
         """Close the elements from position k of the stack on."""
         nonlocal links
         for tag, block in reversed(stack[k:]):
+            opened[tag] -= 1
             if tag == "a":
                 links = max(0, links - 1)
             elif tag not in INLINE:
@@ -128,6 +133,8 @@ def parse(source: str) -> Page:
             continue
         name = name.lower()
         if m["end"] or m["end2"]:
+            if not opened[name]:
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
                     close(k)
@@ -149,22 +156,26 @@ def parse(source: str) -> Page:
                 page.links.append(block)
             if name not in VOID and not attrs.endswith("/"):
                 stack.append((name, block))
+                opened[name] += 1
             continue
         if name in VOID:
             page.pieces.append((block, None, False))
             continue
-        for k in range(len(stack) - 1, 0, -1):
-            tag = stack[k][0]
-            if tag == "p" or tag in CLOSES_ITSELF.get(name, ()):
-                close(k)
-                break
-            if tag in SCOPES:
-                break
+        ended = ("p", *CLOSES_ITSELF.get(name, ()))
+        if any(opened[t] for t in ended):
+            for k in range(len(stack) - 1, 0, -1):
+                tag = stack[k][0]
+                if tag in ended:
+                    close(k)
+                    break
+                if tag in SCOPES:
+                    break
         parent = stack[-1][1]
-        in_article = any(t in ARTICLE_TAGS for t, _ in stack)
+        in_article = any(opened[t] for t in ARTICLE_TAGS)
         node = page.add(name, parent, *_marks(name, attrs, in_article))
         page.pieces.append((parent, None, False))
         stack.append((name, node))
+        opened[name] += 1
     text(len(source))
     close(0)
     page.last[0] = len(page.tag) - 1
@@ -174,7 +185,10 @@ def parse(source: str) -> Page:
 def _boilerplate(page: Page) -> list[bool]:
     """Nodes that are boilerplate or lie inside some; a name never drops the article itself."""
     n = len(page.tag)
-    holds = [t in ARTICLE_TAGS or t == "h1" for t in page.tag]
+    # Beside an article without such a name, one called comment or teaser is what its name says.
+    articles = [v for v in range(n) if page.tag[v] in ARTICLE_TAGS]
+    plain = any(not page.named[v] for v in articles)
+    holds = [t == "h1" or (t in ARTICLE_TAGS and not (plain and name)) for t, name in zip(page.tag, page.named)]
     for v in range(n - 1, 0, -1):
         if holds[v]:
             holds[page.parent[v]] = True
@@ -219,16 +233,18 @@ def densities(page: Page, out: list[bool]) -> tuple[list[float], list[float]]:
 
 
 def _content_roots(page: Page, out: list[bool]) -> list[int]:
-    """Roots of the subtrees that make up the main text, in page order and disjoint."""
+    """Roots of the subtrees that make up the main text, in page order and disjoint.
+
+    The threshold of the path chooses among all subtrees. Outermost ``article`` and
+    ``main`` elements with text are held back whole, also those below it; no other element
+    is chosen for its tag.
+    """
     density, total = densities(page, out)
     n = len(page.tag)
     best = max(range(n), key=lambda v: (total[v], -v))
     path = [best]
     while path[-1]:
         path.append(page.parent[path[-1]])
-    enclosing = [v for v in path if page.tag[v] in ARTICLE_TAGS]
-    if enclosing:
-        return [enclosing[-1]]
     limit = min((density[v] for v in path if page.tag[v] not in ("#document", "html")), default=0.0)
     centre = list(range(n))  # of each subtree, the node with the largest sum
     for v in range(n - 1, 0, -1):
@@ -236,12 +252,19 @@ def _content_roots(page: Page, out: list[bool]) -> list[int]:
         if total[centre[v]] > total[centre[p]]:
             centre[p] = centre[v]
     on_path = set(path)
+    holds = [t in ARTICLE_TAGS for t in page.tag]
+    for v in range(n - 1, 0, -1):
+        holds[page.parent[v]] |= holds[v]
     roots, v = [], 1
     while v < n:
+        if page.tag[v] in ARTICLE_TAGS and not out[v] and density[v]:
+            roots.append(v)
+            v = page.last[v] + 1
+            continue
         if out[v] or density[v] < limit or not density[v]:
-            v = page.last[v] + 1 if v not in on_path else v + 1
+            v = v + 1 if v in on_path or holds[v] else page.last[v] + 1
             continue
-        if centre[v] == v:
+        if centre[v] == v and not holds[v]:
             roots.append(v)
             v = page.last[v] + 1
         else:
