@@ -30,6 +30,7 @@ class MixConfig:
     unwritten: int = 6  # steps between two writes of the rates
     tolerance: float = 0.002  # of a domain's target
     least: float = 0.0  # rate of any document; 1 keeps all of them in the mixture
+    most: float = 64.0  # rate of any document, and so of its copies
     headroom: float = 1.01  # of the budget, so that no rate falls below 1 by rounding
     seed: int = 17
 
@@ -123,13 +124,16 @@ def domain_posteriors(
     )
 
 
-def fit_rates(posteriors: DataFrame, targets: list[float], cfg: MixConfig, scratch: Scratch) -> DataFrame:
-    """``posteriors`` with a ``rate`` for every document.
+def fit_rates(
+    posteriors: DataFrame, targets: list[float], cfg: MixConfig, scratch: Scratch
+) -> tuple[DataFrame, float]:
+    """``posteriors`` with a ``rate`` for every document, and the largest miss left, as a share of its target.
 
     The budget is the least number of tokens with which the mixture needs to
     thin out no domain, so rates below 1 come from shared membership only; rates
-    are projected on ``cfg.least`` and more. Minimises the squared misses of all
-    domains, each in units of its own curvature.
+    are projected on ``cfg.least`` to ``cfg.most``. Minimises the squared misses of all
+    domains, each in units of its own curvature. Targets that no rates between the
+    two bounds reach, and those that ``cfg.steps`` steps don't, show in the miss.
     """
     k = range(len(targets))
     tokens = F.col("n_tokens")
@@ -147,14 +151,18 @@ def fit_rates(posteriors: DataFrame, targets: list[float], cfg: MixConfig, scrat
     budget = cfg.headroom * max((have[i] * wanted_sum / targets[i] for i in k if targets[i] > 0), default=0.0)
     wanted = [budget * t / wanted_sum for t in targets]
 
+    if not wanted_sum or not any(have):
+        return posteriors.withColumn("rate", F.lit(1.0)), 0.0
     current, pending, written = posteriors.withColumn("rate", F.lit(1.0)), [], None
-    for turn in range(cfg.steps):
+    for turn in range(cfg.steps + 1):
         sums = current.agg(*(F.sum(F.col("rate") * tokens * F.col(f"p_{i}")).alias(f"s_{i}") for i in k)).first()
         miss = [(sums[f"s_{i}"] or 0.0) - wanted[i] for i in k]
-        if all(abs(m) <= cfg.tolerance * max(w, 1e-9) for m, w in zip(miss, wanted)):
+        # A domain that is not wanted misses by its share of all tokens.
+        largest = max(abs(m) / (w if w > 0 else budget) for m, w in zip(miss, wanted))
+        if largest <= cfg.tolerance or turn == cfg.steps:
             break
         down = sum((F.col(f"p_{i}") * (step * miss[i] / curve[i]) for i in k), F.lit(0.0))
-        current = current.withColumn("rate", F.greatest(F.col("rate") - down, F.lit(cfg.least)))
+        current = current.withColumn("rate", F.least(F.greatest(F.col("rate") - down, F.lit(cfg.least)), F.lit(cfg.most)))
         pending.append(turn)
         if len(pending) == cfg.unwritten:
             name = f"rates-{turn}"
@@ -162,7 +170,7 @@ def fit_rates(posteriors: DataFrame, targets: list[float], cfg: MixConfig, scrat
             if written:
                 scratch.drop(written)
             pending, written = [], name
-    return current
+    return current, largest
 
 
 def mix_documents(
@@ -176,7 +184,10 @@ def mix_documents(
 
     ``labelled`` has doc_id and domain. One row per row of ``docs``: doc_id,
     source, n_tokens, ``p_<domain>`` for every target, rate and ``copies`` (the rate
-    rounded up or down by a hash of doc_id and row, so that its expectation is the rate).
+    rounded up or down by a hash of doc_id and row, so that its expectation is the rate), and for the whole
+    fit ``largest_miss``, the largest miss of a domain as a share of its target, and ``converged``, whether
+    that is within the tolerance. A target that cannot be met, like one for a domain that no document belongs to,
+    is missed and says so; no document has more than ``cfg.most`` copies.
     Null and empty texts have no tokens and the posterior of their source; null
     sources and sources without labels have the overall prior. Repeated rows each have a
     rate of their own. Without labelled rows all posteriors are equal.
@@ -184,10 +195,10 @@ def mix_documents(
     scratch = Scratch(spark, "mixing")
     domains = list(targets)
     posteriors = domain_posteriors(spark, docs, labelled, domains, cfg, scratch)
-    rates = fit_rates(posteriors, [targets[d] for d in domains], cfg, scratch)
+    rates, miss = fit_rates(posteriors, [targets[d] for d in domains], cfg, scratch)
     share = F.pmod(F.xxhash64("doc_id", "row", F.lit(cfg.seed)), F.lit(1 << 30)) / float(1 << 30)
     copies = (F.floor("rate") + (share < F.col("rate") - F.floor("rate")).cast("long")).cast("long")
     return rates.select(
         "doc_id", "source", "n_tokens", *(F.col(f"p_{i}").alias(f"p_{d}") for i, d in enumerate(domains)), "rate",
-        copies.alias("copies"),
+        copies.alias("copies"), F.lit(miss).alias("largest_miss"), F.lit(miss <= cfg.tolerance).alias("converged"),
     )
