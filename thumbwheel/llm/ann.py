@@ -3,14 +3,14 @@
 The tree is fitted on a bounded sample; every vector is put into the leaf it
 descends to. A query visits leaves best bin first: a priority queue holds tree
 nodes by the distance of their centre, the nearest node is opened next, and the
-search ends after a number of leaves. That number is calibrated: it grows until
-a set of calibration queries finds the wanted share of the neighbours that a
-comparison with all vectors finds.
+search ends after a number of leaves, or later if these hold too few candidates.
+That number is calibrated: it grows until a set of calibration queries finds the
+wanted share of the neighbours that a comparison with all vectors finds.
 
 Vectors that occur many times are searched once: of equal candidates only the
 ``k + 1`` smallest ids can be among anyone's ``k`` nearest, and equal queries
-share one search. Large leaves are cut into blocks, so no task holds a leaf
-whose size follows the data.
+share one search. Leaves and the queries that visit them are cut into blocks, so no
+task holds a number of either that follows the data.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ class AnnConfig:
     branching: int = 8
     leaf_sample: int = 48  # a node with at most so many sample vectors is a leaf
     rounds: int = 12  # of k-means
-    block: int = 4096  # index rows in a block of a leaf
+    block: int = 4096  # index rows in a block of a leaf, and queries that meet it at a time
     calibration: int = 256  # queries, at most
     recall: float = 0.96  # wanted of the calibration queries
     seed: int = 5
@@ -107,13 +107,16 @@ def leaf_of(tree: Tree, units: np.ndarray) -> np.ndarray:
     return out
 
 
-def leaves_in_order(tree: Tree, unit: np.ndarray, most: int | None = None) -> list[int]:
-    """Leaves in best-bin-first order of one query, the first ``most`` of them."""
-    queue, found = [(0.0, 0)], []
-    while queue and (most is None or len(found) < most):
+def leaves_in_order(
+    tree: Tree, unit: np.ndarray, most: int | None = None, held: dict[int, int] | None = None, least: int = 0
+) -> list[int]:
+    """Leaves in best-bin-first order of one query: the first ``most``, and more until they hold ``least`` rows."""
+    queue, found, rows = [(0.0, 0)], [], 0
+    while queue and (most is None or len(found) < most or rows < least):
         _, node = heapq.heappop(queue)
         if tree.leaf[node] >= 0:
             found.append(tree.leaf[node])
+            rows += held.get(tree.leaf[node], 0) if held else 0
             continue
         for away, child in zip(-(tree.centres[node] @ unit), tree.children[node]):
             heapq.heappush(queue, (float(away), child))
@@ -210,10 +213,15 @@ def search(
 
     placed = scratch.keep(map_batches(index, place, "vec_id long, vector binary, leaf long"), "index")
     visits = _calibrated(placed, classes, tree, dimension, cfg)
+    # One row per leaf of the tree: its number is bounded by the sample.
+    sizes = placed.groupBy("leaf").agg(F.count("*").alias("n"))
+    held = {r["leaf"]: r["n"] for r in sizes.collect()}
+    query_blocks = -(-max(classes.count(), 1) // cfg.block)
 
     def visit(batch: pa.RecordBatch):
         units = _units(_matrix(batch.column(1), dimension))
-        leaves = [leaves_in_order(tree, u, visits) for u in units]
+        # Among k + 1 rows at most one is the query itself.
+        leaves = [leaves_in_order(tree, u, visits, held, cfg.k + 1) for u in units]
         rows_of = np.repeat(np.arange(len(units)), [len(x) for x in leaves])
         take = pa.array(rows_of)
         yield pa.RecordBatch.from_arrays(
@@ -221,15 +229,18 @@ def search(
             ["class_id", "vector", "leaf"],
         )
 
-    # One row per leaf of the tree: its number is bounded by the sample.
-    blocks = F.broadcast(
-        placed.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(cfg.block)).cast("int").alias("n_blocks"))
+    blocks = F.broadcast(sizes.select("leaf", F.ceil(F.col("n") / F.lit(cfg.block)).cast("int").alias("n_blocks")))
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = (
+        placed.join(blocks, "leaf")
+        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("n_blocks")).cast("int"))
+        .withColumn("part", each(F.lit(query_blocks)))
     )
-    left = placed.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("n_blocks")).cast("int"))
     right = (
-        map_batches(classes.select("class_id", "vector"), visit, "class_id long, vector binary, leaf long")
+        map_batches(classes.select("class_id", "vector").repartition("class_id"), visit, "class_id long, vector binary, leaf long")
         .join(blocks, "leaf")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+        .withColumn("part", F.pmod(F.xxhash64("class_id", F.lit(cfg.seed)), F.lit(query_blocks)).cast("int"))
+        .withColumn("block", each(F.col("n_blocks")))
     )
 
     def compare(candidates: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
@@ -242,8 +253,8 @@ def search(
         return pd.DataFrame({"class_id": asking["class_id"].to_numpy()[who], "vec_id": near, "score": score})
 
     found = (
-        left.select("leaf", "block", "vec_id", "vector").groupBy("leaf", "block")
-        .cogroup(right.select("leaf", "block", "class_id", "vector").groupBy("leaf", "block"))
+        left.select("leaf", "block", "part", "vec_id", "vector").groupBy("leaf", "block", "part")
+        .cogroup(right.select("leaf", "block", "part", "class_id", "vector").groupBy("leaf", "block", "part"))
         .applyInPandas(compare, "class_id long, vec_id long, score double")
     )
     nearest = Window.partitionBy("class_id").orderBy(F.desc("score"), "vec_id")
