@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from helpers import plan
 from thumbwheel.operators import rollouts as RO
 from thumbwheel.plans import training_log
-from thumbwheel.sources import readers
+from thumbwheel.sources import readers, writers
 from workload import inputs
 from workload.inputs import CONFIG
 
@@ -195,3 +195,35 @@ def test_report_decodes_truncated_responses(log, spark):
     assert [(r.rollout_id, r.query, r["model response"]) for r in out] == [
         (100, "q10", "5 1 0"), (101, "q10", "5 6 7"), (120, "q10", "5 6 1"), (121, "q10", "5 6 1"),
     ]
+
+
+@pytest.mark.parametrize("scored", [False, True])
+def test_a_bucketed_log_is_read_once_and_shuffled_three_times(spark, sf_dir, folder, scored):
+    """Advantages, slots and updates: no shuffle brings the logs together."""
+    for name, log in (("rollouts", inputs.rollouts), ("policy", inputs.policy_log)):
+        writers.write_bucketed(log(spark, sf_dir), f"log_{name}_{scored}", f"{folder}/{name}", buckets=4)
+    rollouts, policy = (spark.table(f"log_{n}_{scored}") for n in ("rollouts", "policy"))
+    if scored:
+        out = training_log.training_metrics(rollouts, policy, CONFIG, 64, 1000)
+    else:
+        out = training_log.training_slot_stats(rollouts, policy, CONFIG)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = plan(out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shown.count("Exchange ") == 3 and shown.count("FileScan") == 2
+    plain = training_log.training_slot_stats(inputs.rollouts(spark, sf_dir), inputs.policy_log(spark, sf_dir), CONFIG)
+    if not scored:
+        rows = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.collect())
+        assert rows(out) == rows(plain)
+
+
+def test_a_rollout_without_policy_rows_counts_for_the_objectives_only(spark):
+    rows = [(1, 10, i, 100 + i, [5, 1], [-1.0, -1.0], [-1.0, -1.0], [1.0 * i, 0.5]) for i in (0, 1)]
+    log = spark.createDataFrame(rows, SCHEMA).withColumns({"elapsed": F.lit(2.0), "lr": F.lit(0.5)})
+    steps = spark.createDataFrame([(100, e, 0, 0, [-1.0, -1.0], [0.5, 0.5]) for e in (0, 1)], POLICY)
+    row = training_log.training_metrics(log, steps, CONFIG, 8, 4).first()
+    assert row["val/num_eos_tokens"] == 2 and row["objective/scores"] == 0.5 and row["val/ratio"] == 1.0
+    assert training_log.policy_rollouts(log, steps, CONFIG).count() == 2
+    assert training_log.training_metrics(log, steps.limit(0), CONFIG, 8, 4).count() == 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -115,20 +114,24 @@ def judge_prompt(
 
 
 def cut_at_stop(text: Column, stops: Sequence[str] = STOP_STRINGS) -> Column:
-    """Text up to and including the first stop string; unchanged without one."""
-    any_stop = "|".join(re.escape(s) for s in stops)
-    return F.regexp_replace(text, f"(?s)({any_stop}).*", "$1")
+    """Text up to and including the first stop string (of several at one place the first listed); unchanged without one."""
+    ends = []
+    for i, stop in enumerate(stops):
+        at = F.locate(stop, text)
+        ends.append(F.when(at > 0, F.struct(at.alias("at"), F.lit(i).alias("i"), F.lit(len(stop)).alias("n"))))
+    first = F.least(*ends) if len(ends) > 1 else ends[0]
+    return F.coalesce(F.substring(text, F.lit(1), first["at"] + first["n"] - 1), text)
 
 
-# Fixed value: the mark of a verdict.
-VERDICT_MARK = r"^\[\[(A|B|C)\]\]"
+# The marks of a verdict.
+VERDICT_MARKS = {"[[A]]": "A", "[[B]]": "B", "[[C]]": "C"}
 
 
 def parse_verdict(text: Column, phrase: str = ANSWER_PHRASE) -> Column:
     """A, B or C if the stripped text after the last phrase starts with its mark, else ``error``."""
-    tail = strip(F.substring_index(text, phrase, -1))
-    letter = F.regexp_extract(tail, VERDICT_MARK, 1)
-    return F.coalesce(F.try_element_at(_constant_map({v: v for v in "ABC"}), letter), F.lit("error"))
+    tail = F.substring_index(text, phrase, -1)
+    mark = F.substring(F.ltrim(tail, F.lit(STRIP_CHARS)), 1, 5)
+    return F.coalesce(F.try_element_at(_constant_map(VERDICT_MARKS), mark), F.lit("error"))
 
 
 def verdict_winner(verdict: Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from thumbwheel.functions.text import judge_prompt, strip
 from thumbwheel.operators.judging import read_verdicts
+from thumbwheel.session import path_exists
 
 TextFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 ScoreFactory = Callable[[], Callable[[pd.Series, pd.Series], pd.Series]]
@@ -65,3 +66,33 @@ def batch_score(
 ) -> DataFrame:
     """Reward logits per (query, response)."""
     return _map_column(df, [query, response], "score", T.ArrayType(T.DoubleType()), score)
+
+
+def run_in_parts(
+    df: DataFrame, model: Callable[[DataFrame], DataFrame], path: str, key: str = "ordinal", parts: int = 16
+) -> DataFrame:
+    """``model(df)``, written to ``path`` part by part; what is there from an earlier run is not asked for again.
+
+    ``model`` keeps ``key`` and gives a row for every row (``batch_generate`` or
+    ``batch_judge`` with a model bound). Parts are ranges of the unique ``key`` and one
+    job each, so a run that dies has lost no more than the part it was at: the rows of
+    a part appear at its commit. A later run passes on the keys that are not there, new ones included.
+    Rows with a NULL key cannot be told apart and take no part.
+    """
+    spark = df.sparkSession
+    named = df.where(F.col(key).isNotNull())
+    schema = model(named).schema
+    known = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
+    todo = named if known is None else named.join(known.select(key), key, "left_anti")
+    low, high = todo.agg(F.min(key), F.max(key)).first()
+    if low is not None:
+        width = -(-(high - low + 1) // parts)
+        for start in range(low, high + 1, width):
+            within = F.col(key).between(start, min(start + width - 1, high))
+            part = named.where(within)
+            if known is not None:
+                part = part.join(known.where(within).select(key), key, "left_anti")
+            model(part).write.mode("append").parquet(path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

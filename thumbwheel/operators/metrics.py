@@ -83,21 +83,31 @@ def kto_objective(
     )
 
 
-def slot_means(df: DataFrame) -> DataFrame:
-    """The five policy statistics of every optimisation slot.
+# The metric names below, here and in ``update_metrics``.
+#: Per-rollout values and the names of their means over an update.
+OBJECTIVES = {
+    "kl": "objective/kl",
+    "objective_entropy": "objective/entropy",
+    "non_score_reward": "objective/non_score_reward",
+    "rlhf_reward": "objective/rlhf_reward",
+    "reward_score": "objective/scores",
+}
+
+
+def _slot_means() -> list[Column]:
+    """The five policy statistics of an optimisation slot.
 
     Entropy and ratio are means over tokens, masked positions included.
     """
-    return df.groupBy(*SLOT).agg(
+    return [
         F.avg("loss").alias("policy_loss"),
         F.avg("is_clipped").alias("clipfrac"),
         (F.avg("log_ratio_sq") * 0.5).alias("approxkl"),
         F.try_divide(F.sum("entropy_sum"), F.sum("n_tokens")).alias("entropy"),
         F.try_divide(F.sum("token_ratio_sum"), F.sum("n_tokens")).alias("ratio"),
-    )
+    ]
 
 
-# The metric names below, here and in ``update_metrics``.
 def _over_slots() -> list[Column]:
     """Plain means of slot means: slots weigh the same whatever their size."""
     return [
@@ -112,44 +122,54 @@ def _over_slots() -> list[Column]:
 
 def slot_stats(df: DataFrame) -> DataFrame:
     """Per update: means over slots, and the sample variance of the slot ratios."""
-    return slot_means(df).groupBy("update_id").agg(
-        *_over_slots(), F.count(F.lit(1)).alias("n_slots")
-    )
+    slots = df.groupBy(*SLOT).agg(*_slot_means())
+    return slots.groupBy("update_id").agg(*_over_slots(), F.count(F.lit(1)).alias("n_slots"))
 
 
 def update_metrics(
-    scored: DataFrame,
-    policy: DataFrame,
+    steps: DataFrame,
     batch_size: int,
     k: int,
     n_train: int,
     elapsed: Column,
     lr: Column | None = None,
 ) -> DataFrame:
-    """One wide metric row per update.
-
-    Objectives are means over ``scored`` (a row per rollout), policy statistics
-    over the slots of ``policy`` (a row per rollout and epoch); both are
-    aggregated before they meet by update. ``elapsed`` (seconds since the
-    start) and ``lr`` are columns of ``scored``, constant within an update.
+    """One wide metric row per update, from one pass.
+
+    ``steps`` has a row per rollout and epoch with ``step_number``, 0 for the rollout's
+    first: objectives are means over those, so that every rollout counts once, policy
+    statistics means over all steps of a slot. A rollout without steps is one row
+    whose slot and ``step_number`` are NULL; it counts for the objectives only. Sums
+    leave the slots, and an update adds up its few slots. ``elapsed`` (seconds
+    since the start) and ``lr`` are constant within an update.
     """
-    objectives = scored.groupBy("update_id").agg(
-        F.avg("kl").alias("objective/kl"),
-        F.avg("objective_entropy").alias("objective/entropy"),
-        F.avg("non_score_reward").alias("objective/non_score_reward"),
-        F.avg("rlhf_reward").alias("objective/rlhf_reward"),
-        F.avg("reward_score").alias("objective/scores"),
-        F.sum("num_eos").alias("val/num_eos_tokens"),
+    once = F.coalesce("step_number", F.lit(0)) == 0
+    names = [*OBJECTIVES, "num_eos"]
+    per_rollout = [
+        f(F.when(once, F.col(c))).alias(f"__{kind}_{c}") for c in names for kind, f in (("sum", F.sum), ("n", F.count))
+    ]
+    slots = steps.groupBy(*SLOT).agg(
+        *_slot_means(),
+        *per_rollout,
         F.max(elapsed).alias("__elapsed"),
-        F.max(lr if lr is not None else F.lit(None).cast("double")).alias("lr"),
+        F.max(lr if lr is not None else F.lit(None).cast("double")).alias("__lr"),
     )
-    slots = slot_means(policy).groupBy("update_id").agg(*_over_slots())
+    mean = lambda c: F.try_divide(F.sum(f"__sum_{c}"), F.sum(f"__n_{c}"))
     episode = F.col("update_id") * F.lit(batch_size)
     return (
-        objectives.join(slots, "update_id")
+        slots.groupBy("update_id")
+        .agg(
+            *(mean(c).alias(name) for c, name in OBJECTIVES.items()),
+            F.sum("__sum_num_eos").alias("val/num_eos_tokens"),
+            F.max("__elapsed").alias("__elapsed"),
+            F.max("__lr").alias("lr"),
+            *_over_slots(),
+            F.count("ppo_epoch").alias("__slots"),
+        )
+        .where("__slots > 0")
         .withColumn("val/clipfrac_avg", F.lit(0.0))
         .withColumn("episode", episode)
         .withColumn("eps", F.floor(F.try_divide(episode, F.col("__elapsed"))).cast("long"))
         .withColumn("epoch", episode / F.lit(float(k * n_train)))
-        .drop("__elapsed")
+        .drop("__elapsed", "__slots")
     )

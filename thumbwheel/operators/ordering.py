@@ -122,6 +122,47 @@ def running_offsets(
     )
 
 
+def previous_in_group(spark: SparkSession, df: DataFrame, group: str, key: str) -> DataFrame:
+    """``group, key, previous``: the key before each row's own in its group; the first row gets the last one's.
+
+    ``key`` is unique. Groups and keys are sorted into ranges, which are written because
+    their edges and their rows must agree; a group may lie in any number of ranges. Inside a range
+    a window looks back one row; of every (range, group) one edge row goes on to find the
+    key before its first.
+    """
+    path = scratch_path(spark, "key-ranges")
+    (
+        df.select(group, key)
+        .repartitionByRange(group, key)
+        .withColumn("__range", F.spark_partition_id())
+        .write.parquet(path)
+    )
+    ranges = spark.read.parquet(path)
+    inside = Window.partitionBy("__range", group).orderBy(key)
+    rows = ranges.withColumn("__before", F.lag(key).over(inside)).withColumn(
+        "__first", F.row_number().over(inside) == 1
+    )
+    # At most one row per range in a group.
+    along = Window.partitionBy(group).orderBy("__range")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    edges = ranges.groupBy("__range", group).agg(F.max(key).alias("__last"))
+    edges = edges.select(
+        "__range",
+        F.col(group).alias("__group"),
+        F.coalesce(F.lag("__last").over(along), F.last("__last").over(whole)).alias("__edge"),
+    )
+    same = (rows["__range"] == edges["__range"]) & rows[group].eqNullSafe(edges["__group"])
+    return rows.join(edges, same).select(
+        group, key, F.when(F.col("__first"), F.col("__edge")).otherwise(F.col("__before")).alias("previous")
+    )
+
+
+def dense_ordinals(spark: SparkSession, df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """``order`` columns and the row's place, 0 onwards without gaps, in their order."""
+    placed = running_offsets(spark, df.select(*order, F.lit(1).cast("long").alias("__one")), order, "__one")
+    return placed.select(*order, F.col("start").alias(name))
+
+
 def pack_sequences(
     spark: SparkSession,
     df: DataFrame,
@@ -192,13 +233,17 @@ def pad_batch(
 ) -> DataFrame:
     """Batches of consecutive rows padded to their longest row, with an attention mask.
 
-    The operator makes the batches itself from a unique ordinal, so the window
-    below never spans more than ``batch_size`` rows.
+    ``ordinal`` orders the rows and is unique; it may have gaps. Rows are numbered
+    without gaps first, so every batch but the last is full and the window below
+    never spans more than ``batch_size`` rows.
     """
     batch = Window.partitionBy("batch_id")
     width = F.max(F.size(ids)).over(batch)
+    places = dense_ordinals(df.sparkSession, df, [ordinal], "__place")
     return (
-        df.withColumn("batch_id", F.floor(F.col(ordinal) / F.lit(batch_size)).cast("long"))
+        df.join(places, ordinal)
+        .withColumn("batch_id", F.floor(F.col("__place") / F.lit(batch_size)).cast("long"))
+        .drop("__place")
         .withColumn("width", width)
         .withColumn("attention_mask", attention_mask(F.col(ids), F.col("width"), side))
         .withColumn(ids, pad_to(F.col(ids), F.col("width"), pad, side))

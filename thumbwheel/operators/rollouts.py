@@ -146,6 +146,31 @@ def policy_sums(policy_log: DataFrame, sized: DataFrame) -> DataFrame:
     )
 
 
+def steps_of_rollouts(policy_log: DataFrame) -> DataFrame:
+    """The policy log as one row per rollout: ``steps``, one entry per epoch."""
+    step = F.struct("ppo_epoch", "minibatch", "microbatch", "new_logp", "token_entropy")
+    return policy_log.groupBy("rollout_id").agg(F.collect_list(step).alias("steps"))
+
+
+def summed_steps(sized: DataFrame) -> DataFrame:
+    """Replaces the token arrays in ``steps`` by their sums against the rollout's ``logp``."""
+    last = F.col("sequence_length") + 1
+    masked = _n_masked("logp")
+
+    def sums(step: Column) -> Column:
+        new = K.keep_start(step["new_logp"], last)
+        return F.struct(
+            step["ppo_epoch"].alias("ppo_epoch"),
+            step["minibatch"].alias("minibatch"),
+            step["microbatch"].alias("microbatch"),
+            (K.array_sum(new) + F.lit(K.INVALID_LOGPROB) * masked).alias("new_logp_sum"),
+            (R.token_ratio_sum(new, _valid("logp")) + masked).alias("token_ratio_sum"),
+            K.array_sum(step["token_entropy"]).alias("entropy_sum"),
+        )
+
+    return sized.withColumn("steps", F.transform("steps", sums))
+
+
 def policy_terms(df: DataFrame, cfg: RolloutConfig = RolloutConfig()) -> DataFrame:
     """Ratio and clipped-loss terms of rollouts with sums and an advantage; scalars only."""
     loss, clipped = R.clipped_losses(F.col("advantage"), F.col("ratio"), cfg.cliprange)
@@ -180,7 +205,8 @@ def completions_report(
     """Query, truncated response and score of every logged completion.
 
     ``prompts`` has one row per ``prompt_id``; a prompt sampled very often is
-    spread over tasks by ``lookup_join``.
+    spread over tasks by ``lookup_join``. A completion whose prompt is not listed
+    has a NULL query.
     """
     responses = rollouts.select(
         "prompt_id",
@@ -190,7 +216,7 @@ def completions_report(
         ),
         "score",
     )
-    joined = lookup_join(responses, prompts.select("prompt_id", "query"), ["prompt_id"], "rollout_id")
+    joined = lookup_join(responses, prompts.select("prompt_id", "query"), ["prompt_id"], "rollout_id", "left")
     return joined.select("rollout_id", "query", "model response", "score")
 
 

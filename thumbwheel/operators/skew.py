@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 
 from thumbwheel.session import scratch_path
 
-PIECES = 32
 _PIECE = "__piece"
 
 
+def key_pieces(df: DataFrame) -> int:
+    """As many pieces as shuffle partitions: a key with any share of the rows can keep all tasks busy."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _join_on(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool
 ) -> DataFrame:
@@ -37,11 +41,12 @@ def lookup_join(
     keys: Sequence[str],
     row_key: str,
     how: str = "inner",
-    pieces: int = PIECES,
+    pieces: int | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
     """Join many ``rows`` to one ``dimension`` row per key (``how``: inner or left)."""
-    spread = rows.withColumn(_PIECE, F.pmod(F.xxhash64(row_key), F.lit(pieces)).cast("int"))
+    n = pieces or key_pieces(rows)
+    spread = rows.withColumn(_PIECE, F.pmod(F.xxhash64(row_key), F.lit(n)).cast("int"))
     occupied = spread.select(*keys, _PIECE).distinct()
     placed = _join_on(occupied, dimension, keys, "inner", null_safe)
     return _join_on(spread, placed, [*keys, _PIECE], how, null_safe).drop(_PIECE)
@@ -52,7 +57,7 @@ def attach_group_sums(
     keys: Sequence[str],
     sums: Mapping[str, Column],
     row_key: str,
-    pieces: int = PIECES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Each row with sums over its whole group; NULL keys form a group, as in ``groupBy``.
 
@@ -62,7 +67,8 @@ def attach_group_sums(
     meet them there.
     """
     path = scratch_path(df.sparkSession, "group-rows")
-    df.withColumn(_PIECE, F.pmod(F.xxhash64(row_key), F.lit(pieces)).cast("int")).write.parquet(path)
+    n = pieces or key_pieces(df)
+    df.withColumn(_PIECE, F.pmod(F.xxhash64(row_key), F.lit(n)).cast("int")).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
     parts = rows.groupBy(*keys, _PIECE).agg(*(F.sum(c).alias(name) for name, c in sums.items()))
     groups = parts.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in sums))

@@ -68,6 +68,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a table in the work folder that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

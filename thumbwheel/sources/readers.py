@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from thumbwheel import schemas
 from thumbwheel.operators.reshape import reference_text
 from thumbwheel.operators.selection import head_examples
+from thumbwheel.sources.split_csv import csv_records
 
 # Names of the source splits and of ours.
 SPLIT_NAMES = {"train_prefs": "train", "test_prefs": "test"}
@@ -54,34 +55,27 @@ def read_completions(spark: SparkSession, path: str, model: str) -> DataFrame:
     An ``Ordinal`` column, as ``export_completions_csv`` writes it, is taken as
     it is. Files without one are numbered by the part number in their name
     (parts count as integers, so part 100000 follows part 99999), then by path,
-    then by position in the file. A quoted record may span lines, so a file is
-    read by one task however large; a folder is read in parallel. Parquet is
-    the hand-off for large tables. An empty completion stays an empty string.
+    then by position in the file. A quoted record may span lines, and files are
+    divided among tasks wherever Spark divides them. All files have the
+    header of the first. An empty completion stays an empty string.
     """
-    options = dict(header=True, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\u0000")
-    header = spark.read.options(**options).csv(path).columns
-    fields = "Text STRING, Ordinal LONG" if "Ordinal" in header else "Text STRING"
-    rows = spark.read.schema(fields).options(**options).csv(path)
-    text = F.coalesce("Text", F.lit("")).alias("text")
+    options = dict(quote='"', escape='"', emptyValue="", nullValue="\u0000", multiLine=True)
+    header = spark.read.options(header=True, **options).csv(path).columns
+    schema = ", ".join(f"`{name}` string" for name in header)
+    records = csv_records(spark, path)
+    fields = F.from_csv("text", F.lit(schema), {k: str(v).lower() if v is True else v for k, v in options.items()})
+    rows = records.where("record > 1").withColumn("__fields", fields)
+    text = F.coalesce(F.col("__fields.Text"), F.lit("")).alias("text")
     if "Ordinal" in header:
-        return rows.select(F.col("Ordinal").alias("ordinal"), F.lit(model).alias("model"), text)
-    placed = rows.select(
-        F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__row"), text
+        return rows.select(F.col("__fields.Ordinal").cast("long").alias("ordinal"), F.lit(model).alias("model"), text)
+    part = F.regexp_extract("file", r"part-(\d+)[^/]*$", 1).try_cast("long")
+    # One row per file; the driver lists the same files anyway.
+    before = Window.orderBy(part.asc_nulls_last(), "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = records.groupBy("file").agg((F.max("in_file") - 1).alias("__n")).select(
+        "file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
-    part = F.regexp_extract("__file", r"part-(\d+)[^/]*$", 1).try_cast("long")
-    # Per-file counts alone meet in one task; the driver lists the same files anyway.
-    before = Window.orderBy(part.asc_nulls_last(), "__file").rowsBetween(Window.unboundedPreceding, -1)
-    files = (
-        placed.groupBy("__file")
-        .agg(F.min("__row").alias("__first"), F.count("text").alias("__n"))
-        .select(
-            "__file", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
-        )
-    )
-    return placed.join(files, "__file").select(
-        (F.col("__before") + F.col("__row") - F.col("__first")).alias("ordinal"),
-        F.lit(model).alias("model"),
-        "text",
+    return rows.join(F.broadcast(files), "file").select(
+        (F.col("__before") + F.col("record") - 2).alias("ordinal"), F.lit(model).alias("model"), text
     )
 
 

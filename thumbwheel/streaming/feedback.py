@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from thumbwheel.functions.rollout import at_most, leave_one_out
+from thumbwheel.operators.metrics import OBJECTIVES, SLOT
 from thumbwheel.operators.reshape import pairs_to_unpaired
 
+#: How long a slot or an update waits for what is missing, counted from its last row.
+PATIENCE = dt.timedelta(days=1)
+
 
 def read_table_stream(
     spark: SparkSession,
@@ -24,8 +33,32 @@ def read_table_stream(
     return reader.parquet(path)
 
 
-def stream_unpaired(pairs: DataFrame, label_type: str = "int") -> DataFrame:
-    """Pairs to unpaired rows: stateless, the batch expression unchanged."""
+def once(events: DataFrame, key: Sequence[str], ts: str, watermark: str) -> DataFrame:
+    """A feed that may deliver an event more than once, with every event once.
+
+    ``key`` names the event. Deliveries of an event that lie no further apart than
+    ``watermark`` in event time are recognised; what is remembered is let go when the
+    watermark has passed it, so state is bounded by the events of that time.
+    """
+    return events.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(key))
+
+
+def stream_unpaired(
+    pairs: DataFrame,
+    label_type: str = "int",
+    key: Sequence[str] = (),
+    ts: str | None = None,
+    watermark: str = "1 hour",
+) -> DataFrame:
+    """Pairs to unpaired rows, the batch expression unchanged.
+
+    With ``key`` and ``ts`` a pair that is delivered again gives no second rows;
+    without them the stream is stateless and passes on what it gets.
+    """
+    if key:
+        if ts is None:
+            raise ValueError("a feed is freed of repetitions by a key and a time column")
+        pairs = once(pairs, key, ts, watermark)
     return pairs_to_unpaired(pairs, label_type)
 
 
@@ -35,16 +68,18 @@ def stream_thumbs_rate(
     up: Column,
     window: str = "1 day",
     watermark: str = "1 hour",
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """Thumbs-up rate per tumbling window; ``up`` is true, false, or NULL for other events.
 
     Other events are not counted but still move the watermark, so they are
-    left out by the counts and not by a filter.
+    left out by the counts and not by a filter. With ``key`` an event that is
+    delivered again counts once.
     """
+    marked = feedback.withColumn("__up", up)
+    timed = once(marked, key, ts, watermark) if key else marked.withWatermark(ts, watermark)
     return (
-        feedback.withColumn("__up", up)
-        .withWatermark(ts, watermark)
-        .groupBy(F.window(ts, window).alias("w"))
+        timed.groupBy(F.window(ts, window).alias("w"))
         .agg(
             F.count(F.when(F.col("__up"), 1)).alias("n_up"),
             F.count("__up").alias("n"),
@@ -59,71 +94,300 @@ def stream_thumbs_rate(
     )
 
 
-# The metric names.
-def stream_update_metrics(
+class _Waiting(StatefulProcessor):
+    """A key that is let go ``patience`` after the last row it got."""
+
+    def __init__(self, patience: dt.timedelta):
+        self.wait_ms = int(patience.total_seconds() * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def wait_until(self, before: int | None, last_ms: int | None) -> int | None:
+        """Moves the key's timer to its last row; the timer's time."""
+        if last_ms is None:
+            return before
+        timer = last_ms + self.wait_ms
+        if before is not None:
+            if timer <= before:
+                return before
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(timer)
+        return timer
+
+    def close(self) -> None:
+        pass
+
+
+class SlotSamples(_Waiting):
+    """The samples of one slot until the ``k``-th is there, and their ids after that."""
+
+    def __init__(self, k: int, patience: dt.timedelta):
+        super().__init__(patience)
+        self.k = k
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.state = handle.getValueState("samples", "ids array<bigint>, rewards array<double>, timer bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.state.get()
+        ids, rewards, timer = (list(known[0]), list(known[1]), known[2]) if known is not None else ([], [], None)
+        seen, was_full, last = len(ids), len(ids) >= self.k, None
+        for r in rows:
+            last = r["ts_ms"] if last is None else max(last, r["ts_ms"] or last)
+            if r["rollout_id"] in ids:
+                continue
+            ids.append(r["rollout_id"])
+            rewards.append(r["rlhf_reward"])
+        if len(ids) == seen:
+            return
+        if len(ids) > self.k:
+            raise ValueError(f"a slot of {self.k} has samples: {sorted(map(str, ids))}")
+        full = len(ids) == self.k and not was_full
+        if full:
+            yield from self.advantages(key, ids, rewards)
+        self.state.update((ids, [] if full else rewards, self.wait_until(timer, last)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.state.get()
+        self.state.clear()
+        if known is not None and len(known[0]) < self.k:
+            yield from self.advantages(key, known[0], known[1])
+
+    def advantages(self, key, ids: list, rewards: list) -> Iterator[Row]:
+        n, valued = len(ids), [r for r in rewards if r is not None]
+        total = sum(valued)
+        for i, r in zip(ids, rewards):
+            alone = r is None or n < 2
+            yield Row(
+                update_id=key[0], prompt_id=key[1], rollout_id=i, rlhf_reward=r,
+                advantage=None if alone else r - (total - r) / (n - 1),
+            )
+
+
+def stream_rloo_advantage(
     rewards: DataFrame,
-    batch_size: int,
     k: int,
-    n_train: int,
     ts: str = "ts",
-    gap: str = "10 minutes",
+    patience: dt.timedelta = PATIENCE,
     watermark: str = "10 minutes",
 ) -> DataFrame:
-    """One row of objective metrics per update while training runs.
+    """Advantages of every slot when its ``k``-th sample arrives: the rows of the batch operator.
 
-    ``rewards`` are scored rollouts. An update ends ``gap`` after its last
-    rollout, wherever that lies on the clock, so its rows are never split. The
-    averages over optimisation slots need a second aggregation; take them from
-    the log table in batch.
+    It does not matter how far apart the samples are. A slot that stays incomplete is
+    given out ``patience`` after its last sample as batch does: over the samples it has,
+    NULL for one without company. A sample that is delivered again changes nothing.
+    State per slot is at most ``k`` samples, their ids alone once they are out, until the
+    same timer; a slot with more than ``k`` samples fails the stream.
     """
-    episode = F.col("update_id") * F.lit(batch_size)
+    slot = F.floor(F.col("sample_idx") / F.lit(k)).cast("long").alias("slot")
     return (
         rewards.withWatermark(ts, watermark)
-        .groupBy(F.session_window(ts, gap).alias("w"), "update_id")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("kl").alias("objective/kl"),
-            F.avg("objective_entropy").alias("objective/entropy"),
-            F.avg("non_score_reward").alias("objective/non_score_reward"),
-            F.avg("rlhf_reward").alias("objective/rlhf_reward"),
-            F.avg("reward_score").alias("objective/scores"),
-            F.sum("num_eos").alias("val/num_eos_tokens"),
-            F.max("lr").alias("lr"),
-            F.max("elapsed").alias("__elapsed"),
+        .select("update_id", "prompt_id", slot, "rollout_id", "rlhf_reward", F.unix_millis(ts).alias("ts_ms"), ts)
+        .groupBy("update_id", "prompt_id", "slot")
+        .transformWithState(
+            SlotSamples(k, patience),
+            "update_id bigint, prompt_id bigint, rollout_id bigint, rlhf_reward double, advantage double",
+            "append",
+            "EventTime",
         )
-        .withColumn("first_seen", F.col("w.start"))
-        .withColumn("episode", episode)
-        .withColumn("eps", F.floor(F.try_divide(episode, F.col("__elapsed"))).cast("long"))
-        .withColumn("epoch", episode / F.lit(float(k * n_train)))
-        .drop("w", "__elapsed")
     )
 
 
-def stream_rloo_advantage(
-    rewards: DataFrame,
+#: What a slot adds up over its rows, and over those of the first epoch, where every rollout is once.
+STEP_SUMS = ("loss", "is_clipped", "log_ratio_sq", "entropy_sum", "n_tokens", "token_ratio_sum")
+ROLLOUT_SUMS = (*OBJECTIVES, "num_eos")
+SUMMED = (*STEP_SUMS, *ROLLOUT_SUMS)
+
+SLOT_STATE = (
+    "n bigint, want bigint, slots bigint, rollouts bigint, elapsed double, lr double, "
+    "sums array<double>, counts array<bigint>, last bigint, timer bigint"
+)
+SLOT_ROW = (
+    ", ".join(f"{c} bigint" for c in SLOT) + ", n_slots bigint, n_rollouts bigint, elapsed double, lr double, "
+    "complete boolean, sums array<double>, counts array<bigint>, last_seen timestamp"
+)
+UPDATE_STATE = (
+    "rollouts bigint, complete boolean, elapsed double, lr double, want bigint, "
+    "slots array<array<double>>, sums array<double>, counts array<bigint>, timer bigint"
+)
+UPDATE_ROW = (
+    "update_id bigint, n_slots bigint, n_rollouts bigint, complete boolean, elapsed double, lr double, "
+    "slots array<array<double>>, sums array<double>, counts array<bigint>"
+)
+
+
+def _larger(a, b):
+    return b if a is None else a if b is None else max(a, b)
+
+
+def _largest(column: pd.Series):
+    return None if column.isna().all() else column.max().item()
+
+
+def _share(total: float, n: float) -> float | None:
+    return total / n if n else None
+
+
+class SlotSums(_Waiting):
+    """Sums and counts of the values in the rows of one optimisation slot, given out with its last row."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.state = handle.getValueState("sums", SLOT_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, want, slots, rollouts, elapsed, lr, sums, counts, last, timer = (
+            self.state.get() or (0, None, None, 0, None, None, None, None, None, None)
+        )
+        sums = np.array(sums if sums is not None else np.zeros(len(SUMMED)))
+        counts = np.array(counts if counts is not None else np.zeros(len(SUMMED), np.int64))
+        for frame in rows:
+            first = frame["step_number"] == 0
+            for i, c in enumerate(SUMMED):
+                column = frame[c] if i < len(STEP_SUMS) else frame[c][first]
+                sums[i] += column.sum()
+                counts[i] += column.count()
+            n, rollouts = n + len(frame), rollouts + int(first.sum())
+            want, slots = _larger(want, _largest(frame["slot_rows"])), _larger(slots, _largest(frame["n_slots"]))
+            elapsed, lr = _larger(elapsed, _largest(frame["elapsed"])), _larger(lr, _largest(frame["lr"]))
+            last = _larger(last, _largest(frame["ts_ms"]))
+        if want is not None and n >= want:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.state.clear()
+            yield self.row(key, slots, rollouts, elapsed, lr, True, sums, counts, last)
+        else:
+            timer = self.wait_until(timer, last)
+            self.state.update((n, want, slots, rollouts, elapsed, lr, sums.tolist(), counts.tolist(), last, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = self.state.get()
+        self.state.clear()
+        if known is not None:
+            _, _, slots, rollouts, elapsed, lr, sums, counts, last, _ = known
+            # The clock of the next stage has come this far: a row behind it would count as late.
+            last = max(last, int(expiredTimerInfo.getExpiryTimeInMs()))
+            yield self.row(key, slots, rollouts, elapsed, lr, False, sums, counts, last)
+
+    def row(self, key, slots, rollouts, elapsed, lr, complete, sums, counts, last) -> pd.DataFrame:
+        seen = pd.Timestamp(last, unit="ms", tz="UTC")
+        values = (*key, slots, rollouts, elapsed, lr, complete, list(sums), list(counts), seen)
+        names = (*SLOT, "n_slots", "n_rollouts", "elapsed", "lr", "complete", "sums", "counts", "last_seen")
+        return pd.DataFrame({n: [v] for n, v in zip(names, values)})
+
+
+class UpdateSlots(_Waiting):
+    """The statistics of the slots of one update, given out when the last slot is there."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.state = handle.getValueState("slots", UPDATE_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rollouts, complete, elapsed, lr, want, slots, sums, counts, timer = (
+            self.state.get() or (0, True, None, None, None, None, None, None, None)
+        )
+        slots = [list(s) for s in slots] if slots is not None else []
+        sums = list(sums) if sums is not None else [0.0] * len(ROLLOUT_SUMS)
+        counts = list(counts) if counts is not None else [0] * len(ROLLOUT_SUMS)
+        last = None
+        for r in rows:
+            rollouts, complete = rollouts + r["n_rollouts"], complete and r["complete"]
+            elapsed, lr, want = _larger(elapsed, r["elapsed"]), _larger(lr, r["lr"]), _larger(want, r["n_slots"])
+            loss, clipped, squared, entropy, tokens, ratio = r["sums"][: len(STEP_SUMS)]
+            n_loss, n_clipped, n_squared = r["counts"][:3]
+            half = _share(0.5 * squared, n_squared)
+            slots.append(
+                [_share(loss, n_loss), _share(clipped, n_clipped), half, _share(entropy, tokens), _share(ratio, tokens)]
+            )
+            for i in range(len(ROLLOUT_SUMS)):
+                sums[i] += r["sums"][len(STEP_SUMS) + i]
+                counts[i] += r["counts"][len(STEP_SUMS) + i]
+            last = _larger(last, r["ts_ms"])
+        if want is not None and len(slots) >= want:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.state.clear()
+            yield self.row(key, rollouts, complete, elapsed, lr, slots, sums, counts)
+        else:
+            timer = self.wait_until(timer, last)
+            self.state.update((rollouts, complete, elapsed, lr, want, slots, sums, counts, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.state.get()
+        self.state.clear()
+        if known is not None:
+            rollouts, _, elapsed, lr, _, slots, sums, counts, _ = known
+            yield self.row(key, rollouts, False, elapsed, lr, [list(s) for s in slots], list(sums), list(counts))
+
+    def row(self, key, rollouts, complete, elapsed, lr, slots, sums, counts) -> Row:
+        return Row(
+            update_id=key[0], n_slots=len(slots), n_rollouts=rollouts, complete=complete, elapsed=elapsed, lr=lr,
+            slots=slots, sums=sums, counts=counts,
+        )
+
+
+# The metric names.
+def stream_update_metrics(
+    steps: DataFrame,
+    batch_size: int,
     k: int,
+    n_train: int,
     ts: str = "ts",
-    gap: str = "10 minutes",
+    patience: dt.timedelta = PATIENCE,
     watermark: str = "10 minutes",
 ) -> DataFrame:
-    """Advantages of every slot, ``gap`` after its last sample: the rows of the batch operator.
+    """One row of all metrics per update while training runs, when its last slot closes.
 
-    A sample without company gets NULL, as in batch. State per slot is at most
-    ``k`` samples because the slot number is part of the key; more fail the
-    stream. A sample delivered again is the same set member.
+    ``steps`` are the rows of ``rollout_steps``, with ``slot_rows`` (how many rows its optimisation slot gets) and
+    ``n_slots`` (how many slots its update has), which the trainer knows. A slot
+    closes with its last row and an update with its last slot, however long either
+    takes: two stateful aggregations, the second over the few slots of an update. An
+    update that stays incomplete comes ``patience`` after its last row, with
+    ``complete`` false. A row that is delivered again counts once.
     """
-    n = F.size("samples")
-    total = F.aggregate("samples", F.lit(0.0), lambda acc, s: acc + s["rlhf_reward"])
-    return (
-        rewards.withWatermark(ts, watermark)
-        .withColumn("slot", F.floor(F.col("sample_idx") / F.lit(k)).cast("long"))
-        .groupBy(F.session_window(ts, gap).alias("w"), "update_id", "prompt_id", "slot")
-        .agg(F.collect_set(F.struct("rollout_id", "rlhf_reward")).alias("samples"))
-        .withColumn("total", total)
-        .withColumn("n", at_most(n, k))
-        .select("update_id", "prompt_id", "total", "n", F.inline("samples"))
-        .withColumn("advantage", leave_one_out(F.col("rlhf_reward"), F.col("total"), F.col("n")))
-        .drop("total", "n")
+    named = once(steps, ["update_id", "rollout_id", "ppo_epoch"], ts, watermark)
+    sums = [F.col(c).cast("double").alias(c) for c in SUMMED]
+    slots = (
+        named.select(
+            *SLOT, *sums, *(F.col(c).cast("long").alias(c) for c in ("slot_rows", "n_slots", "step_number")),
+            F.col("elapsed").cast("double").alias("elapsed"), F.col("lr").cast("double").alias("lr"),
+            F.unix_millis(ts).alias("ts_ms"), ts,
+        )
+        .groupBy(*SLOT)
+        .transformWithStateInPandas(SlotSums(patience), SLOT_ROW, "append", "EventTime", eventTimeColumnName="last_seen")
+    )
+    updates = (
+        slots.withColumn("ts_ms", F.unix_millis("last_seen"))
+        .groupBy("update_id")
+        .transformWithState(UpdateSlots(patience), UPDATE_ROW, "append", "EventTime")
+    )
+    mean = lambda i: F.try_divide(F.col("sums")[i], F.col("counts")[i])
+    of = lambda i: F.filter(F.transform("slots", lambda s: s[i]), lambda x: x.isNotNull())
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
+    average = lambda i: F.try_divide(total(of(i)), F.size(of(i)))
+    spread = total(F.transform(of(4), lambda x: F.pow(x - average(4), F.lit(2))))
+    episode = F.col("update_id") * F.lit(batch_size)
+    return updates.select(
+        "update_id",
+        *(mean(i).alias(name) for i, name in enumerate(OBJECTIVES.values())),
+        F.col("sums")[len(OBJECTIVES)].cast("long").alias("val/num_eos_tokens"),
+        average(2).alias("policy/approxkl_avg"),
+        average(1).alias("policy/clipfrac_avg"),
+        average(0).alias("loss/policy_avg"),
+        average(3).alias("policy/entropy_avg"),
+        average(4).alias("val/ratio"),
+        F.when(F.size(of(4)) > 1, spread / (F.size(of(4)) - 1)).alias("val/ratio_var"),
+        F.lit(0.0).alias("val/clipfrac_avg"),
+        "lr",
+        episode.alias("episode"),
+        F.floor(F.try_divide(episode, F.col("elapsed"))).cast("long").alias("eps"),
+        (episode / F.lit(float(k * n_train))).alias("epoch"),
+        "n_slots",
+        "n_rollouts",
+        "complete",
     )
 
 

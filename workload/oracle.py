@@ -171,6 +171,8 @@ def build() -> dict[str, str]:
     sql["assemble_messages"] = """select conv_id, turn // 8 segment, count(*) n_messages,
         string_agg(role || '=' || text, '|' order by turn) rendered from conversations group by 1, 2"""
     sql["read_completions"] = f"select doc_id ordinal, '{_BASE}' model, text from documents"
+    sql["read_completions_unnumbered"] = f"""select row_number() over (order by doc_id) - 1 ordinal,
+        '{_BASE}' model, text from documents"""
     sql["write_unpaired"] = _with(PAIRS) + f"""
         select example_id, branch, split, label, {_dialogue('reply')} completion from unpaired"""
     sql["write_completions"] = _with(COMPLETIONS) + """
@@ -256,15 +258,17 @@ def build() -> dict[str, str]:
         from stream where pos // 2048 < full_blocks group by 1"""
     sql["truncate_prompt"] = _with(WORDS) + """
         , l as (select doc_id, n, list(id order by i) t from ids join nt using (doc_id) group by 1, 2),
-        c as (select p.doc_id, p.n pn, p.t pt, a.t answer, least(p.n, 512) np, least(a.n, 2048 - least(p.n, 512)) nc
-              from l p join labels using (doc_id) join l a on a.doc_id = p.doc_id + 1)
+        c as (select d.doc_id, coalesce(p.n, 0) pn, p.t pt, a.t answer, least(pn, 512) np,
+                     least(coalesce(a.n, 0), 2048 - np) nc
+              from documents d left join l p using (doc_id) left join l a on a.doc_id = d.doc_id + 1)
         select doc_id, np prompt_tokens, nc completion_tokens, pt[pn - np + 1] prompt_first, pt[pn] prompt_last,
                answer[1] completion_first, answer[nc] completion_last from c"""
     sql["tokenize_plugin"] = _with(WORDS) + """
         select doc_id, count(*) n_tokens, cast(sum(id) as bigint) id_sum from ids group by 1"""
     sql["rloo_prompts"] = _with(WORDS) + """
         , l as (select doc_id, n, sum(id) s, arg_max(id, i) z from ids join nt using (doc_id) group by 1, 2),
-        b as (select *, doc_id // 32 batch_id, max(n) over (partition by doc_id // 32) width from l)
+        b as (select *, max(n) over (partition by batch_id) width
+              from (select *, (row_number() over (order by doc_id) - 1) // 32 batch_id from l))
         select doc_id ordinal, batch_id, unnest([0, 1]) sample_idx, width, n n_real, cast(s as bigint) id_sum,
                z last_id from b"""
     words = r"len(regexp_extract_all({0}, '[^ \t\n\r\f\v]+'))"
@@ -286,7 +290,8 @@ def build() -> dict[str, str]:
     padded = _with(WORDS) + """
         , l as (select doc_id, n, sum(id) s, arg_min(id, i) f, arg_max(id, i) z
                 from ids join nt using (doc_id) group by 1, 2),
-        b as (select *, doc_id // 32 batch_id, max(n) over (partition by doc_id // 32) width from l)
+        b as (select *, max(n) over (partition by batch_id) width
+              from (select *, (row_number() over (order by doc_id) - 1) // 32 batch_id from l))
         select doc_id, batch_id, '{side}' side, width, n n_real, cast(s as bigint) id_sum,
                {first} first_id, {last} last_id from b"""
     zero_if_short = lambda v: f"case when n < width then 0 else {v} end"
@@ -355,9 +360,21 @@ def build() -> dict[str, str]:
                count(*) filter (pred = 1 and y = 1) true_good, count(*) filter (pred = 1 and y = 0) false_good,
                count(*) filter (pred = 0 and y = 0) true_bad, count(*) filter (pred = 0 and y = 1) false_bad
         from c"""
-    sql["kto_objective"] = _with(ROLLOUTS) + """
-        , k as (select update_id, logp_sum - ref_logp_sum r, reward_score lab,
-                       greatest(avg(kl) over (partition by update_id), 0) z from rw)
+    points = _with(ROLLOUTS) + """
+        , km as (select update_id, prompt_id, rollout_id, coalesce(lag(rollout_id) over g,
+                        max(rollout_id) over (partition by update_id)) other
+                 from ro window g as (partition by update_id order by rollout_id)),
+        kp as (select update_id, km.rollout_id,
+                      sum(-cast((prompt_id + token * 7 + i) % 17 + 1 as double) / 16) lp,
+                      sum(-cast((prompt_id + token * 5 + i) % 13 + 1 as double) / 16) rp
+               from km join tk on tk.rollout_id = other group by 1, 2),
+        kz as (select update_id, count(*) n, greatest(avg(lp - rp), 0::double) z from kp group by 1)"""
+    sql["kto_mismatched_pairs"] = points + """
+        select update_id, km.rollout_id, other, km.prompt_id, n_tokens from km join ro using (update_id)
+        where ro.rollout_id = other"""
+    sql["kto_reference_point"] = points + "select update_id, n, round(z, 6) z from kz"
+    sql["kto_objective"] = points + """
+        , k as (select update_id, logp_sum - ref_logp_sum r, reward_score lab, z from rw join kz using (update_id))
         select update_id, count(*) n,
                round(avg(case when lab = 1 then 1 - 1 / (1 + exp(-0.1::double * (r - z)))
                               else 1 - 1 / (1 + exp(-0.1::double * (z - r))) end), 6) loss,
@@ -417,7 +434,7 @@ def build() -> dict[str, str]:
     report = _with(ROLLOUTS, COMPLETIONS) + """
         , resp as (select rollout_id, string_agg(truncated::varchar, ' ' order by i) response from tt group by 1)
         select rollout_id {key}, prompt as query, response "model response", reward_score score
-        from rw join resp using (rollout_id) join prompts on prompt_id = ordinal"""
+        from rw join resp using (rollout_id) left join prompts on prompt_id = ordinal"""
     sql["completions_report"] = report.format(key="")
     sql["report_top"] = report.format(key="as ordinal").replace(
         "select rollout_id as ordinal", "select rw.rollout_id as ordinal"
@@ -473,14 +490,19 @@ def build() -> dict[str, str]:
         count(*) filter (event_type = 'purchase') n_up, count(*) n,
         round(count(*) filter (event_type = 'purchase') / count(*), 6) up_rate
         from events where event_type in ('purchase', 'error') group by 1"""
-    sql["stream_update_metrics"] = ro + """select update_id, count(*) n,
-        min(1700000037 + update_id * 613 + prompt_id % 97 * 3 + sample_idx) first_seen,
-        round(avg(kl), 6) "objective/kl", round(avg(-logp_sum), 6) "objective/entropy",
-        round(avg(non_score_reward), 6) "objective/non_score_reward",
-        round(avg(rlhf_reward), 6) "objective/rlhf_reward", round(avg(reward_score), 6) "objective/scores",
-        cast(sum(num_eos) as bigint) "val/num_eos_tokens", round(1.0::double / (update_id * 4), 6) lr,
-        update_id * 512 episode, cast(floor(update_id * 512 / (update_id * 30.0)) as bigint) eps,
-        round(update_id * 512 / 2000.0::double, 6) epoch
-        from rw group by update_id"""
+    sql["stream_update_metrics"] = sql["update_metrics"].replace(
+        "select ob.*,", "select ob.*, n_slots, n_rollouts, true complete,"
+    ).replace(
+        "from ob join sm using (update_id)",
+        """from ob join sm using (update_id)
+        join (select update_id, count(*) n_slots from slots group by 1) using (update_id)
+        join (select update_id, count(*) n_rollouts from rw group by 1) using (update_id)""",
+    )
     sql["stream_rloo_advantage"] = sql["rloo_advantage"]
+    sql["stream_unpaired_repeated"] = sql["stream_unpaired"]
+    sql["stream_thumbs_rate_repeated"] = sql["stream_thumbs_rate"]
+    sql["slot_stats_bucketed"] = sql["slot_stats"]
+    sql["update_metrics_bucketed"] = sql["update_metrics"]
+    sql["batch_generate_resumed"] = sql["batch_generate"]
+    sql["batch_judge_resumed"] = sql["batch_judge"]
     return sql

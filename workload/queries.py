@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from thumbwheel import schemas
 from thumbwheel.functions import rollout as R
 from thumbwheel.functions import text as X
 from thumbwheel.functions import tokens as K
-from thumbwheel.operators import inference, judging, metrics, ordering, pairing, reshape
+from thumbwheel.operators import inference, judging, kto, metrics, ordering, pairing, reshape
 from thumbwheel.operators import rollouts as RO
 from thumbwheel.operators import selection, skew
 from thumbwheel.plans import datasets, evaluation, training_log
@@ -97,6 +98,17 @@ def read_completions(spark, d):
     return readers.read_completions(spark, path, I.MODELS[0])
 
 
+@query
+def read_completions_unnumbered(spark, d):
+    """Texts of several lines from files without an ordinal column, numbered by place."""
+    path = scratch_path(spark, "completions-csv")
+    docs = I.table(spark, d, "documents").select("doc_id", F.col("text").alias("Text"))
+    options = dict(header=True, quoteAll=True, quote='"', escape='"', emptyValue="")
+    kept = dict(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    docs.orderBy("doc_id").select("Text").write.options(**options, **kept).csv(path)
+    return readers.read_completions(spark, path, I.MODELS[0])
+
+
 @query
 def write_unpaired(spark, d):
     path = scratch_path(spark, "unpaired")
@@ -121,8 +133,10 @@ def write_completions(spark, d):
 def write_win_rate(spark, d):
     path = scratch_path(spark, "win-rates")
     rates = judging.win_rate_1v1(judging.read_verdicts(I.raw_verdicts(spark, d)))
+    # Written twice: a comparison made again replaces its rates.
+    writers.write_win_rate(rates.withColumn("rate_a", F.lit(0.0)), path, ("model_a", "model_b"))
     writers.write_win_rate(rates, path, ("model_a", "model_b"))
-    return rounded(spark.read.parquet(path))
+    return rounded(spark.read.parquet(path).drop("comparison"))
 
 
 @query
@@ -132,6 +146,8 @@ def write_metrics(spark, d):
     logits = F.array((F.length("text") % 5).cast("double"), (F.length("text") % 3).cast("double"))
     evaluated = metrics.accuracy(feedback_rows, logits, F.col("label"), ["lang"])
     counted = evaluated.withColumnRenamed("n", "eval_samples")
+    # A retried job writes its run again.
+    writers.write_metrics(counted, path, "pointwise", ("lang",))
     writers.write_metrics(counted, path, "pointwise", ("lang",))
     return rounded(spark.read.parquet(path).select("run", "lang", "metric", "value"))
 
@@ -380,13 +396,13 @@ def packed_block_tokens(spark, d):
 
 @query
 def truncate_prompt(spark, d):
-    """A document's text as the prompt, the text of the next labelled document id as the completion."""
-    labels = I.table(spark, d, "labels").select("doc_id")
+    """Every document's text as a prompt, the text of the next document id as the completion, empty if there is none."""
     ids = I.table(spark, d, "documents").select("doc_id", K.token_ids(F.col("text")).alias("ids"))
-    prompts = ids.join(labels, "doc_id")
     answers = ids.select((F.col("doc_id") - 1).alias("doc_id"), F.col("ids").alias("answer"))
+    none = F.array().cast("array<int>")
+    paired = ids.join(answers, "doc_id", "left").withColumn("answer", F.coalesce("answer", none))
     prompt, completion = K.truncate_pair(F.col("ids"), F.col("answer"), 512, 2048)
-    return prompts.join(answers, "doc_id").select("doc_id", prompt.alias("p"), completion.alias("c")).select(
+    return paired.select("doc_id", prompt.alias("p"), completion.alias("c")).select(
         "doc_id",
         F.size("p").cast("long").alias("prompt_tokens"),
         F.size("c").cast("long").alias("completion_tokens"),
@@ -584,6 +600,35 @@ def pointwise_reward_eval(spark, d):
     return rounded(metrics.pointwise_reward_eval(rows, F.col("logits"), F.col("label")))
 
 
+def _mismatched_sums(pairs: DataFrame) -> DataFrame:
+    """A stand-in for the two models: log-probabilities of a response to a prompt that is not its own."""
+
+    def logp(step: int, mod: int) -> Column:
+        at = lambda token, i: (F.col("prompt_id") + token * step + i) % mod + 1
+        return K.array_sum(F.transform("response", lambda token, i: -at(token, i).cast("double") / 16))
+
+    return pairs.withColumn("logp_sum", logp(7, 17)).withColumn("ref_logp_sum", logp(5, 13))
+
+
+def _kto_points(spark, d) -> DataFrame:
+    rows = I.rollouts(spark, d).select("update_id", "rollout_id", "prompt_id", "response")
+    return kto.kto_reference_point(
+        spark, rows, "update_id", "rollout_id", "prompt_id", "response", _mismatched_sums
+    )
+
+
+@query
+def kto_mismatched_pairs(spark, d):
+    rows = I.rollouts(spark, d).select("update_id", "rollout_id", "prompt_id", "response")
+    pairs = kto.mismatched_pairs(spark, rows, "update_id", "rollout_id", "prompt_id", "response")
+    return pairs.select("update_id", "rollout_id", "other", "prompt_id", F.size("response").cast("long").alias("n_tokens"))
+
+
+@query
+def kto_reference_point(spark, d):
+    return rounded(_kto_points(spark, d))
+
+
 @query
 def kto_objective(spark, d):
     rewards = RO.response_sums(_rewards(spark, d))
@@ -593,10 +638,8 @@ def kto_objective(spark, d):
         "logp_sum",
         (F.col("logp_sum") - F.col("kl")).alias("ref_logp_sum"),
         F.col("reward_score").cast("int").alias("label"),
-        "kl",
     )
-    summed = skew.attach_group_sums(rows, ["update_id"], {"kl_sum": F.col("kl"), "n": F.lit(1)}, "rollout_id")
-    with_z = summed.withColumn("z", F.greatest(F.col("kl_sum") / F.col("n"), F.lit(0.0))).drop("n")
+    with_z = kto.with_reference_point(rows, _kto_points(spark, d), "update_id", "rollout_id")
     return rounded(metrics.kto_objective(with_z, "update_id", beta=0.1), "loss")
 
 
@@ -717,6 +760,27 @@ def update_metrics(spark, d):
     return rounded(out)
 
 
+def _bucketed(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The two logs as tables laid out by rollout."""
+    tables = []
+    for log in (I.rollouts, I.policy_log):
+        path = scratch_path(spark, log.__name__)
+        name = os.path.basename(path).replace("-", "_")
+        writers.write_bucketed(log(spark, d), name, path)
+        tables.append(spark.table(name))
+    return tuple(tables)
+
+
+@query
+def slot_stats_bucketed(spark, d):
+    return rounded(training_log.training_slot_stats(*_bucketed(spark, d), CFG))
+
+
+@query
+def update_metrics_bucketed(spark, d):
+    return rounded(training_log.training_metrics(*_bucketed(spark, d), CFG, batch_size=512, n_train=1000))
+
+
 @query
 def objective_entropy(spark, d):
     masked = RO.masked_rollouts(I.rollouts(spark, d), CFG)
@@ -820,6 +884,24 @@ def generate_completions(spark, d):
     return evaluation.generate_completions(prompts, judges.echo_generator, I.MODELS[2])
 
 
+@query
+def batch_generate_resumed(spark, d):
+    """A first run that got through a part of the prompts, and a second that does the rest."""
+    path = scratch_path(spark, "generated")
+    docs = I.table(spark, d, "documents").select(F.col("doc_id").alias("ordinal"), F.col("text").alias("prompt"))
+    generate = lambda df: inference.batch_generate(df, judges.echo_generator)
+    inference.run_in_parts(docs.where("ordinal % 10 < 4"), generate, path, parts=2)
+    return inference.run_in_parts(docs, generate, path, parts=4)
+
+
+@query
+def batch_judge_resumed(spark, d):
+    path = scratch_path(spark, "judged")
+    judge = lambda df: inference.batch_judge(df, judges.length_judge)
+    inference.run_in_parts(_asked(spark, d).where("ordinal % 3 = 0"), judge, path, parts=2)
+    return inference.run_in_parts(_asked(spark, d), judge, path, parts=4)
+
+
 @query
 def judge_against_reference(spark, d):
     examples = readers.source_adapter(
@@ -902,6 +984,12 @@ def _epoch_seconds(df: DataFrame) -> DataFrame:
     return rounded(df.withColumn("window_start", F.unix_seconds("window_start")))
 
 
+def _delivered_again(df: DataFrame, key: str) -> DataFrame:
+    """Every seventh row comes twice."""
+    times = F.when(F.col(key) % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("__copy", F.explode(times)).drop("__copy")
+
+
 @query
 def stream_unpaired(spark, d):
     pairs = reshape.drop_columns(I.pairs(spark, d))
@@ -924,23 +1012,55 @@ def stream_thumbs_rate(spark, d):
     return _epoch_seconds(_drained(spark, rates, "thumbs-rate"))
 
 
-def _reward_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """Scored rollouts at times that no window boundary knows of: slots and updates straddle any."""
-    seconds = F.col("update_id") * 613 + F.col("prompt_id") % 97 * 3 + F.col("sample_idx")
-    ts = F.timestamp_seconds(F.lit(1_700_000_037) + seconds)
-    rewards = training_log.scored_rollouts(I.rollouts(spark, d), CFG).drop("advantage", "slot")
-    return _stream_of(spark, rewards.withColumn("ts", ts), "ts", name)
+@query
+def stream_unpaired_repeated(spark, d):
+    """A feed of pairs in which some come twice."""
+    seconds = F.lit(1_700_000_000) + F.col("example_id") % 86_400
+    pairs = reshape.drop_columns(I.pairs(spark, d)).withColumn("ts", F.timestamp_seconds(seconds))
+    feed = _stream_of(spark, _delivered_again(pairs, "example_id"), "ts", "pair-feed")
+    # The row that ends the feed moves the clock and is no pair.
+    stream = feedback.stream_unpaired(feed, key=["example_id"], ts="ts", watermark="1 day").where("example_id is not null")
+    flat = stream.select(
+        "example_id", "branch", "split", "prompt", reshape.messages_text(F.col("completion")).alias("completion"), "label"
+    )
+    return _drained(spark, flat, "unpaired-feed")
+
+
+@query
+def stream_thumbs_rate_repeated(spark, d):
+    events = _delivered_again(I.feedback_events(spark, d), "event_id")
+    stream = _stream_of(spark, events, "ts", "thumbs-feed")
+    rates = feedback.stream_thumbs_rate(stream, "ts", F.col("up"), key=["event_id"])
+    return _epoch_seconds(_drained(spark, rates, "thumbs-feed-rate"))
+
+
+def _arrival() -> Column:
+    """Samples of a slot lie a second, eleven minutes or an hour apart."""
+    apart = F.element_at(F.array(F.lit(1), F.lit(660), F.lit(3600)), (F.col("prompt_id") % 3 + 1).cast("int"))
+    seconds = F.col("update_id") * 613 + F.col("prompt_id") % 97 * 3 + F.col("sample_idx") * apart
+    return F.timestamp_seconds(F.lit(1_700_000_037) + seconds)
 
 
 @query
 def stream_update_metrics(spark, d):
-    rewards = _reward_stream(spark, d, "update-stream")
-    stream = feedback.stream_update_metrics(rewards, batch_size=512, k=CFG.k, n_train=1000)
-    out = _drained(spark, stream, "update-metrics")
-    return rounded(out.withColumn("first_seen", F.unix_seconds("first_seen")))
+    steps = training_log.rollout_steps(I.rollouts(spark, d), I.policy_log(spark, d), CFG)
+    path = scratch_path(spark, "steps")
+    steps.withColumn("ts", _arrival()).write.parquet(path)
+    steps = spark.read.parquet(path)
+    # What the trainer knows beforehand: rows of a slot, slots of an update.
+    slots = steps.groupBy(*metrics.SLOT).agg(F.count(F.lit(1)).alias("slot_rows"))
+    updates = slots.groupBy("update_id").agg(F.count(F.lit(1)).alias("n_slots"))
+    known = slots.join(updates, "update_id")
+    rows = _delivered_again(steps.join(known, list(metrics.SLOT)), "rollout_id")
+    stream = feedback.stream_update_metrics(
+        _stream_of(spark, rows, "ts", "update-stream"), batch_size=512, k=CFG.k, n_train=1000
+    )
+    return rounded(_drained(spark, stream, "update-metrics"))
 
 
 @query
 def stream_rloo_advantage(spark, d):
-    stream = feedback.stream_rloo_advantage(_reward_stream(spark, d, "rollout-stream"), CFG.k)
-    return _drained(spark, stream, "stream-advantage")
+    rewards = training_log.scored_rollouts(I.rollouts(spark, d), CFG).withColumn("ts", _arrival())
+    rows = rewards.select("update_id", "prompt_id", "sample_idx", "rollout_id", "rlhf_reward", "ts")
+    stream = _stream_of(spark, _delivered_again(rows, "rollout_id"), "ts", "rollout-stream")
+    return _drained(spark, feedback.stream_rloo_advantage(stream, CFG.k), "stream-advantage")
