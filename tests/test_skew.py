@@ -34,7 +34,7 @@ def test_group_stats_equal_group_by(rows, no_broadcast, pieces):
 def test_the_log_is_read_once_for_sums_and_join(spark, sf_dir):
     from workload.queries import REGISTRY
 
-    shown = plan(REGISTRY["kto_objective"](spark, sf_dir))
+    shown = plan(REGISTRY["rloo_advantage_any_k"](spark, sf_dir))
     assert "l_orderkey" not in shown and "zip_with" not in shown
 
 
