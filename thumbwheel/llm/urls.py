@@ -48,9 +48,11 @@ class UrlRule:
     def regex(self) -> str:
         """Fits both Java's and Python's expressions."""
         body = self.pattern.removeprefix("||")
+        # A star at either end says nothing, and at the start it would try every place from every place.
+        body = body.rstrip("*") if body != self.pattern else body.strip("*")
         special = {"*": "[\\s\\S]*", "^": "(?:[^A-Za-z0-9_.%-]|(?![\\s\\S]))"}
         parts = [special.get(c) or (c if re.match(r"[A-Za-z0-9/_ -]", c) or ord(c) > 127 else "\\" + c) for c in body]
-        return ("^(?:[^/?]*\\.)?" if body != self.pattern else "") + "".join(parts)
+        return ("^(?:[^/?]*\\.)?" if self.pattern.startswith("||") else "") + "".join(parts)
 
     @property
     def tokens(self) -> list[str]:
