@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from thumbwheel.operators import metrics
 from thumbwheel.operators.rollouts import rloo_advantage
+from thumbwheel.session import STATE_STORE_KEY
 from thumbwheel.streaming import feedback
 
 T0 = dt.datetime(2024, 1, 1)
@@ -219,3 +220,43 @@ def test_an_update_that_stays_incomplete_says_so(spark, folder):
     (row,) = drain(spark, feedback.stream_update_metrics(stream, 8, 2, 10), folder)
     assert (row.update_id, row.n_slots, row.n_rollouts, row.complete) == (1, 3, 4, False)
     assert row["objective/kl"] == 0.375
+
+
+@pytest.fixture
+def default_store(spark):
+    """A session that names no state store for its streams has one without keyed state."""
+    before = spark.conf.get(STATE_STORE_KEY)
+    store = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(STATE_STORE_KEY, store)
+    yield store
+    assert spark.conf.get(STATE_STORE_KEY) == store
+    spark.conf.set(STATE_STORE_KEY, before)
+
+
+def test_keyed_streams_run_in_a_session_with_another_state_store(spark, folder, default_store):
+    write_batch(spark, [(1, 1, 0, 10, 1.0, at(0)), (1, 1, 1, 11, 0.25, at(1))], REWARDS, f"{folder}/in")
+    feedback.drain_to_table(reward_stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/c", keyed_state=True)
+    assert {r.rollout_id: r.advantage for r in spark.read.parquet(f"{folder}/out").collect()} == {10: 0.75, 11: -0.75}
+    write_batch(spark, step_rows(1, 1), STEP, f"{folder}/steps")
+    steps = feedback.read_table_stream(spark, f"{folder}/steps", spark.read.schema(STEP).parquet(f"{folder}/steps").schema)
+    feedback.drain_to_table(
+        feedback.stream_update_metrics(steps, 8, 2, 10), f"{folder}/updates", f"{folder}/c2", keyed_state=True
+    )
+    (row,) = spark.read.parquet(f"{folder}/updates").collect()
+    assert (row.update_id, row.n_slots, row.n_rollouts, row.complete) == (1, 4, 4, True)
+
+
+def test_slots_that_share_their_state_keep_their_own_timers(spark, folder):
+    """One share for all slots: each comes at its own time, those without a key too."""
+    source = f"{folder}/in"
+
+    def run(*rows):
+        write_batch(spark, list(rows), REWARDS, source)
+        stream = reward_stream(spark, source, patience=dt.timedelta(hours=1), watermark="1 minute", pieces=1)
+        return {r.rollout_id: r.advantage for r in drain(spark, stream, folder)}
+
+    first = (1, 1, 0, 10, 1.0, at(0)), (1, 2, 0, 20, 1.0, at(1800)), (1, None, None, 30, 2.0, at(1900)), (1, None, None, 31, 1.0, at(1900))
+    assert run(*first) == {30: 1.0, 31: -1.0}
+    assert run((1, 9, 0, 90, 0.0, at(4000))) == {30: 1.0, 31: -1.0, 10: None}
+    assert run((1, 2, 1, 21, 0.5, at(4100)), (1, None, None, 31, 1.0, at(4100))) == {30: 1.0, 31: -1.0, 10: None, 20: 0.5, 21: -0.5}
+    assert run((2, 9, 9, 99, 0.0, at(90000))) == {30: 1.0, 31: -1.0, 10: None, 20: 0.5, 21: -0.5, 90: None}
