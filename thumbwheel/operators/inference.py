@@ -1,8 +1,9 @@
 """Model calls as pluggable batch functions.
 
 A function here is a *factory*: it runs once per task, loads whatever it needs
-and returns a callable for one batch. Batches are Arrow-sized pandas Series,
-so a task streams its partition and never holds it whole. Keys pass through.
+and returns a callable for one batch. Batches are pandas Series of at most
+``BATCH_BYTES`` of input (or one row), so a task streams its partition and what it
+holds depends neither on the rows nor on their length. Keys pass through.
 """
 
 from __future__ import annotations
@@ -10,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from thumbwheel.functions.text import judge_prompt, strip
 from thumbwheel.operators.judging import read_verdicts
@@ -21,6 +24,19 @@ from thumbwheel.session import path_exists
 TextFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 ScoreFactory = Callable[[], Callable[[pd.Series, pd.Series], pd.Series]]
 
+#: A model gets so much input at a time. Spark's Arrow batches hold 10,000 rows, of whole texts far more.
+BATCH_BYTES = 4 << 20
+
+
+def _cut(batch: pa.RecordBatch, inputs: Sequence[str], size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with at most ``size`` bytes in ``inputs``, or of one row; nothing is copied."""
+    if batch.num_rows <= 1 or sum(batch.column(c).nbytes for c in inputs) <= size:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from _cut(batch.slice(0, half), inputs, size)
+    yield from _cut(batch.slice(half), inputs, size)
+
 
 def _map_column(
     df: DataFrame, inputs: Sequence[str], output: str, output_type: T.DataType, factory: Callable
@@ -30,14 +46,17 @@ def _map_column(
     schema = T.StructType([*kept, T.StructField(output, output_type)])
     names = [f.name for f in kept]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    result = to_arrow_type(output_type)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = factory()
-        for batch in batches:
-            out = batch[names].copy()
-            out[output] = call(*(batch[c] for c in inputs)).to_numpy()
-            yield out
+        for whole in batches:
+            for batch in _cut(whole, inputs, BATCH_BYTES):
+                out = call(*(batch.column(c).to_pandas() for c in inputs))
+                columns = [*(batch.column(c) for c in names), pa.Array.from_pandas(pd.Series(out), type=result)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, output])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def batch_generate(
