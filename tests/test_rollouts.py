@@ -229,3 +229,15 @@ def test_a_rollout_without_policy_rows_counts_for_the_objectives_only(spark):
     assert row["val/num_eos_tokens"] == 2 and row["objective/scores"] == 0.5 and row["val/ratio"] == 1.0
     assert training_log.policy_rollouts(log, steps, CONFIG).count() == 2
     assert training_log.training_metrics(log, steps.limit(0), CONFIG, 8, 4).count() == 0
+
+
+def test_logs_meet_without_lists_from_aggregation_and_without_entropies(spark, sf_dir):
+    shown = plan(RO.steps_of_rollouts(inputs.policy_log(spark, sf_dir)))
+    assert "ObjectHashAggregate" not in shown
+    assert "entropy_sum" in shown and "token_entropy" not in shown.split("Exchange")[0]
+
+
+def test_policy_rows_meet_as_lists_in_order_and_rows_without_a_rollout_take_no_part(spark):
+    rows = [(1, 1, 0, 0, [-2.0], [0.5, 0.25]), (1, 0, 0, 1, [-1.0], [1.0]), (None, 0, 0, 0, [-1.0], [1.0]), (2, 0, 3, 0, None, None)]
+    got = {r.rollout_id: [tuple(s) for s in r.steps] for r in RO.steps_of_rollouts(spark.createDataFrame(rows, POLICY)).collect()}
+    assert got == {1: [(0, 0, 1, [-1.0], 1.0), (1, 0, 0, [-2.0], 0.75)], 2: [(0, 3, 0, None, None)]}
