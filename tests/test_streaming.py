@@ -260,3 +260,35 @@ def test_slots_that_share_their_state_keep_their_own_timers(spark, folder):
     assert run((1, 9, 0, 90, 0.0, at(4000))) == {30: 1.0, 31: -1.0, 10: None}
     assert run((1, 2, 1, 21, 0.5, at(4100)), (1, None, None, 31, 1.0, at(4100))) == {30: 1.0, 31: -1.0, 10: None, 20: 0.5, 21: -0.5}
     assert run((2, 9, 9, 99, 0.0, at(90000))) == {30: 1.0, 31: -1.0, 10: None, 20: 0.5, 21: -0.5, 90: None}
+
+
+def test_the_clock_of_a_feed_takes_no_rows_from_the_slots_beside_it(spark, folder):
+    """The row without a key that ends a feed shares its task with slots that have begun before."""
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    source = f"{folder}/in"
+    rows = step_rows(1, 1) + step_rows(2, 1)
+
+    def run(part):
+        write_batch(spark, part, STEP, source)
+        stream = feedback.read_table_stream(spark, source, spark.read.schema(STEP).parquet(source).schema)
+        return drain(spark, feedback.stream_update_metrics(stream, 8, 2, 10), folder)
+
+    assert run(rows[::2]) == []
+    got = run(rows[1::2] + [(*[None] * 22, END[0])])
+    assert sorted((r.update_id, r.n_slots, r.n_rollouts, r.complete) for r in got) == [(1, 4, 4, True), (2, 4, 4, True)]
+
+
+def test_a_slot_without_a_part_of_its_key_keeps_its_null(spark, folder):
+    rows = [r[:3] + (None,) + r[4:20] + (4, 2) + r[22:] for r in step_rows(1, 1)]
+    write_batch(spark, rows, STEP, f"{folder}/in")
+    stream = feedback.read_table_stream(spark, f"{folder}/in", spark.read.schema(STEP).parquet(f"{folder}/in").schema)
+    (row,) = drain(spark, feedback.stream_update_metrics(stream, 8, 2, 10), folder)
+    assert (row.update_id, row.n_slots, row.n_rollouts, row.complete) == (1, 2, 4, True)
+
+
+def test_bounded_state_gives_the_session_its_own_settings_back(spark):
+    keys = feedback.BATCHES_KEPT_KEY, feedback.PARTITIONS_KEY
+    before = [spark.conf.get(k) for k in keys]
+    with feedback.bounded_state(spark, batches=3, partitions=1):
+        assert [spark.conf.get(k) for k in keys] == ["3", "1"]
+    assert [spark.conf.get(k) for k in keys] == before
